@@ -18,6 +18,32 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .neardup import near_duplicates
+
+    return near_duplicates(_table(spark, sf_dir, "documents"), 75)
+
+
+def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .license import scanned
+
+    return scanned(_table(spark, sf_dir, "documents"))
+
+
+def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from .bpe import encoded_documents
+
+    return encoded_documents(_table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
+def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .quality import quality
+
+    return quality(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .packing import packed_documents
 
@@ -36,12 +62,28 @@ def op7_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_vectors(_table(spark, sf_dir, "embeddings"), 0.9)
 
 
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .toxicity import toxicity
+
+    return toxicity(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .warc import archived
+
+    back = archived(_table(spark, sf_dir, "pages"), payload="response", verify=True)
+    revisited = F.col("warc_type") == "revisit"
+    return back.select("page_id", "payload_bytes", "payload_digest", F.col("warc_type").alias("record_type"), F.when(revisited, F.regexp_extract("refers_to", r"page:(-?\d+)$", 1).cast("long")).alias("refers_to"))
+
+
+def op10_token_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .slots import slot_digests
+
+    return slot_digests(_table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {
-        "op5_best_fit_packing": op5_best_fit_packing,
-        "op6_exact_top_k": op6_exact_top_k,
-        "op7_embedding_near_dedup": op7_embedding_near_dedup,
-    }
+    return {f.__name__: f for f in (op1_minhash_near_dedup, op2_license_scan, op3_byte_bpe, op4_quality_classifier, op5_best_fit_packing, op6_exact_top_k, op7_embedding_near_dedup, op8_toxicity, op9_warc, op10_token_slots)}
 
 
 def oracle_sql() -> dict[str, str]:
