@@ -87,7 +87,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op6_exact_top_k": OP6_SQL, "op7_embedding_near_dedup": OP7_SQL}
+    from .license import oracle
+
+    return {"op2_license_scan": oracle(), "op6_exact_top_k": OP6_SQL, "op7_embedding_near_dedup": OP7_SQL}
 
 
 _FINITE = "len(embedding) > 0 and list_count(embedding) = len(embedding) and len(list_filter(embedding, lambda x: not isfinite(x))) = 0"
