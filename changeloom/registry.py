@@ -1,9 +1,19 @@
-"""The registered queries over change feeds, and their SQL."""
+"""The registered queries over change feeds, wire formats and the listing service, and their SQL."""
 
+from __future__ import annotations
 
-def queries():
-    return {}
+from collections.abc import Callable
 
+from pyspark.sql import DataFrame, SparkSession
 
-def oracle_sql():
-    return {}
+from .plans import feeds, services, wires
+
+_ALL = feeds.QUERIES | wires.QUERIES | services.QUERIES
+
+
+def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    return {name: query for name, (query, _) in _ALL.items()}
+
+
+def oracle_sql() -> dict[str, str]:
+    return {name: sql for name, (_, sql) in _ALL.items()}
