@@ -15,6 +15,11 @@ def read_expected(spark, path: str) -> DataFrame:
     return spark.read.text(path).filter(F.col("value").contains("=")).select(F.trim(parts[0]).alias("key"), F.trim(parts[1]).alias("value"))
 
 
+def write_results(results: DataFrame, path: str) -> None:
+    """SNK10: rows ``key, value`` as lines ``KEY=value``; Spark's success mark in the folder says that all are there."""
+    results.select(F.concat_ws("=", F.col("key").cast("string"), F.coalesce(F.col("value").cast("string"), F.lit("")))).coalesce(1).write.mode("overwrite").text(path)
+
+
 def audit(feed: DataFrame, *, key: str = "id", value: str = "score", count: int, total: float, secondary: DataFrame | None = None, secondary_count: int = 0, leaked: tuple[int, int] = (80000, 80009), snapshots: int = 100, deletes: int | None = None, evolved: tuple[str, ...] = ("priority", "tags"), tolerance: float = 0.1) -> DataFrame:
     """``check, actual, expected, passed`` of the seven checks (AGG1-3, AGG12, FLT2-3)."""
     spark = feed.sparkSession

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import pgtypes, text
-from ..sources import catalog, wire
+from ..sources import catalog, items, wire
 from .feeds import scratch
 from .synth import table
 
@@ -65,6 +65,32 @@ def wire_decode_copy(spark, sf_dir):
     return out.withColumn("seen", F.unix_seconds(pgtypes.normalised_timestamp(F.col("seen"))))
 
 
+def frame_demux(spark, sf_dir):
+    """Frames around the messages, with keepalives and short frames between."""
+    m = _encoded(table(spark, sf_dir, "orders"))
+    head = lambda kind: F.concat(F.encode(F.lit(kind), "iso-8859-1"), F.unhex(F.lpad(F.hex("lsn"), 16, "0")), F.unhex(F.lit("00" * 16)))
+    frames = m.select(F.when(F.col("lsn") % 10 == 0, F.expr("cast('w12' as binary)")).when(F.col("lsn") % 7 == 0, head("k")).otherwise(F.concat(head("w"), "payload")).alias("frame"))
+    return wire.demux_frames(frames).groupBy("kind").agg(F.count("*").alias("n"), F.sum("lsn").alias("lsns"), F.count("payload").alias("payloads"))
+
+
+def _items(spark, sf_dir):
+    """Orders as JSON items: every 50th is a story, the others hang below the item of a fifth of their number."""
+    k = F.col("o_orderkey")
+    o = table(spark, sf_dir, "orders").filter("o_orderkey between 1 and 4999")
+    story = k < 5
+    kids = F.transform(F.sequence(F.lit(0), F.lit(4)), lambda i: k * 5 + i)
+    item = F.struct(k.alias("id"), F.when(story, "story").otherwise("comment").alias("type"), F.when(k % 4 != 0, F.concat(F.lit("u"), (k % 10).cast("string"))).alias("by"), k.alias("time"), F.when(k % 17 == 0, True).alias("deleted"), F.filter(kids, lambda x: x < 5000).alias("kids"))
+    return items.parsed(o.select(F.when(k % 1000 == 999, "{broken").otherwise(F.to_json(item)).alias("value")))
+
+
+def item_comments(spark, sf_dir):
+    return items.comments(_items(spark, sf_dir)).select("id", "story_id", "parent_id", F.unix_seconds("posted_at").alias("posted"))
+
+
+def item_authors(spark, sf_dir):
+    return items.authors(_items(spark, sf_dir))
+
+
 def corrupt_messages(spark, sf_dir):
     """FLT13: whole rows are rejected, and none is half read."""
     good = _encoded(table(spark, sf_dir, "orders"))
@@ -149,6 +175,20 @@ QUERIES = {
         wire_decode_copy,
         "select c_custkey as id, c_nationkey as nation, c_acctbal as balance, case when c_custkey % 9 <> 0 then c_mktsegment end as segment, c_custkey % 2 = 1 as odd, c_custkey + 946684800 as seen, 'SNAPSHOT' as _cdc_op, cast(0 as bigint) as _cdc_timestamp, cast(1000000 as bigint) as _cdc_lsn from customer",
     ),
+    "frame_demux": (
+        frame_demux,
+        """with m as (select 2000000 + o_orderkey as lsn from orders union all select 3000000 + o_orderkey from orders where o_orderkey % 3 = 0 union all select 4000000 + o_orderkey from orders where o_orderkey % 7 = 0),
+        k as (select case when lsn % 10 = 0 then null when lsn % 7 = 0 then 'k' else 'w' end as kind, lsn from m)
+        select kind, count(*) as n, case when kind is not null then cast(sum(lsn) as bigint) end as lsns, case when kind = 'w' then count(*) else 0 end as payloads from k group by kind""",
+    ),
+    "item_comments": (
+        item_comments,
+        """with recursive i as (select o_orderkey as id, o_orderkey % 17 = 0 and o_orderkey >= 5 as gone from orders where o_orderkey between 1 and 4999 and o_orderkey % 1000 <> 999),
+        tree as (select c.id, s.id as story_id, cast(null as bigint) as parent_id from i s join i c on s.id < 5 and c.id >= 5 and c.id // 5 = s.id and not c.gone
+          union all select c.id, t.story_id, t.id from tree t join i c on c.id // 5 = t.id and not c.gone)
+        select id, story_id, parent_id, id as posted from tree""",
+    ),
+    "item_authors": (item_authors, "select distinct 'u' || (o_orderkey % 10) as id from orders where o_orderkey between 1 and 4999 and o_orderkey % 1000 <> 999 and o_orderkey % 4 <> 0"),
     "corrupt_messages": (
         corrupt_messages,
         """with m as (select 2000000 + o_orderkey as lsn from orders union all select 3000000 + o_orderkey from orders where o_orderkey % 3 = 0 union all select 4000000 + o_orderkey from orders where o_orderkey % 7 = 0)

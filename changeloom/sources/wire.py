@@ -145,6 +145,16 @@ def decode_messages(messages: DataFrame) -> DataFrame:
     return messages.select(F.col("lsn").cast("long"), F.col("payload").cast("binary")).mapInArrow(_decode, DECODED)
 
 
+def demux_frames(frames: DataFrame, column: str = "frame") -> DataFrame:
+    """SRC7 on rows, in the JVM: ``kind, lsn, payload``; short and unknown frames have kind null. A keepalive's payload is null."""
+    f = F.col(column)
+    kind = F.decode(F.substring(f, 1, 1), "iso-8859-1")
+    good = ((kind == "w") & (F.octet_length(f) >= FRAME_HEAD)) | ((kind == "k") & (F.octet_length(f) >= 18))
+    lsn = F.conv(F.hex(F.substring(f, 2, 8)), 16, 10).try_cast("long")
+    body = F.when(kind == "w", F.expr(f"substring(`{column}`, {FRAME_HEAD + 1})"))
+    return frames.select(F.when(good, kind).alias("kind"), F.when(good, lsn).alias("lsn"), F.when(good, body).alias("payload"))
+
+
 def rejected(decoded: DataFrame) -> DataFrame:
     return decoded.filter("error is not null").select("lsn", "payload", "error")
 

@@ -66,6 +66,14 @@ def land(decoded: DataFrame, out: str, catalog: dict[str, Table], layouts: list[
     return found
 
 
+def land_snapshot(table: ChangeTable, rows: DataFrame, app_id: str = "snapshot") -> bool:
+    """STR10, STR12: a table's snapshot as one commit; a table that has commits is left alone. Says whether it wrote."""
+    if table.exists():
+        return False
+    table.append(rows, app_id, 0, "SNAPSHOT")
+    return True
+
+
 def run_bronze(spark: SparkSession, messages: str, out: str, checkpoint: str, catalog: dict[str, Table] | None = None, watermark: int = 0, only: frozenset[str] = frozenset(), app_id: str = "bronze", max_files: int = 100, once: bool = True, every: str = "5 seconds", received_us: int | None = None) -> StreamingQuery:
     """STR3-6: message files (``lsn long, payload binary``) as a stream; admission by files, a time trigger unless ``once``.
 

@@ -106,3 +106,35 @@ def test_registry(spark):
     r = catalog.registry_of(cols, only=frozenset({"t"}))
     assert [t.name for t in r.all()] == ["t"] and r.get("u") is None
     assert r.get("t").struct()["id"].dataType.typeName() == "long" and r.get("t").struct()["id"].nullable
+
+
+def test_config(tmp_path):
+    from changeloom.config import load
+
+    (tmp_path / ".env").write_text("# no\nOUTPUT_DIR=s3://lake\nTABLE_NAME=a, b\n\nx\n")
+    c = load([], {"PG_CONNINFO": "host=h", "OUTPUT_DIR": "else"}, tmp_path / ".env")
+    assert (c.connection, c.output, c.tables) == ("host=h", "s3://lake", frozenset({"a", "b"}))
+    assert load(["host=arg"], {}, tmp_path / "none").connection == "host=arg"
+
+
+def test_items_pass_over_dead_branches(spark):
+    from changeloom.sources import items
+
+    texts = ['{"id":1,"type":"story","kids":[2,3],"time":5}', '{"id":2,"type":"comment","deleted":true,"kids":[4]}', '{"id":3,"type":"comment","kids":[5],"by":"u"}', '{"id":4,"type":"comment"}', '{"id":5,"type":"comment"}', "null", "{"]
+    df = items.parsed(spark.createDataFrame([(t,) for t in texts], "value string"))
+    got = {(r["id"], r["story_id"], r["parent_id"]) for r in items.comments(df).collect()}
+    assert got == {(3, 1, None), (5, 1, 3)}
+    ranks = spark.createDataFrame([(1, 9)], "id long, hn_rank int")
+    assert [(r["title"], r["score"], r["hn_rank"]) for r in items.stories(df, ranks).collect()] == [("", 0, 9)]
+
+
+def test_results_and_snapshots_are_written_once(spark, tmp_path):
+    from changeloom.operators.audit import write_results
+    from changeloom.sources.txlog import ChangeTable
+    from changeloom.streaming.runs import land_snapshot
+
+    write_results(spark.createDataFrame([("COUNT", 3)], "key string, value int"), f"file://{tmp_path}/r")
+    assert [tuple(r) for r in read_expected(spark, f"file://{tmp_path}/r").collect()] == [("COUNT", "3")]
+    t = ChangeTable(spark, f"file://{tmp_path}/t")
+    assert land_snapshot(t, spark.range(2)) and not land_snapshot(t, spark.range(5))
+    assert t.read().count() == 2
