@@ -23,8 +23,8 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded_batches, crc_fold, stage, unstage
-from .toxicity import _WordRows, fit_bounded, scorer, training_rows
+from .common import bounded_batches, crc_fold, id_text, stage, unstage
+from .toxicity import _WordRows, fit_bounded, scored_by, training_rows, whole_rows
 
 MAX_TRAIN = 20_000
 BROADCAST_SITES = 20_000
@@ -75,15 +75,14 @@ class QualityFeatures:
         ]
 
 
-def evidence(docs: DataFrame, labels: DataFrame, train_on: DataFrame, *, text_col: str = "text", label_col: str = "quality", max_train: int = MAX_TRAIN) -> DataFrame:
-    """``docs`` with a column ``_score``: the document classifier's probability."""
-    bounded_batches(docs.sparkSession)
+def evidence(rows: DataFrame, labels: DataFrame, train_on: DataFrame, *, label_col: str = "quality", max_train: int = MAX_TRAIN) -> DataFrame:
+    """``rows`` with the document classifier's probability ``_score`` in place of the text ``_text``."""
+    bounded_batches(rows.sparkSession)
     train = training_rows(train_on, labels, label_col, max_train=max_train)
     features = QualityFeatures().features
     model = fit_bounded(train, features, NAMES, max_train, rounds=60)
     unstage(train)
-    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
-    return docs.withColumn("_text", F.coalesce(F.col(text_col), F.lit(""))).mapInArrow(scorer(features, model, len(NAMES)), f"{kinds}, _score double")
+    return scored_by(rows, features, model, len(NAMES))
 
 
 def _strength(groups: DataFrame, mean: float) -> float:
@@ -135,14 +134,15 @@ def _with_posterior(scored: DataFrame, host: str, path: str) -> DataFrame:
 
 def quality(docs: DataFrame, labels: DataFrame, *, host: str = "source", path: str = "lang", id_col: str = "doc_id", text_col: str = "text", max_train: int = MAX_TRAIN) -> DataFrame:
     """``doc_id, held_out, evidence, host_posterior, path_posterior, score, kept`` per row."""
-    base = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(host).cast("string").alias("host"), F.col(path).cast("string").alias("path"), F.col(text_col).cast("string").alias("text"))
-    # Only the columns that are needed later are staged: texts are read once for training and once for evidence.
-    scored = stage(evidence(base, labels, base, max_train=max_train).drop("text"), "evidence")
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(host).cast("string").alias("host"), F.col(path).cast("string").alias("path"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("_text"))
+    # Only small columns are staged: texts are read once for training and once for evidence.
+    scored = stage(evidence(rows, labels, id_text(docs, id_col, text_col), max_train=max_train), "evidence")
     out = _with_posterior(scored, "host", "path")
     return out.select("doc_id", F.coalesce(crc_fold(F.col("doc_id")) == 0, F.lit(False)).alias("held_out"), F.col("_score").alias("evidence"), F.col("_host_posterior").alias("host_posterior"), F.col("_path_posterior").alias("path_posterior"), F.col("_posterior").alias("score"), (F.col("_posterior") >= 0.5).alias("kept"))
 
 
 def good_documents(docs: DataFrame, labels: DataFrame, train_on: DataFrame, *, host: str = "source", path: str = "lang", max_train: int = MAX_TRAIN) -> DataFrame:
     """The rows of ``docs`` whose posterior is at least one half, with all their columns."""
-    scored = stage(evidence(docs, labels, train_on, max_train=max_train), "evidence")
-    return _with_posterior(scored, host, path).filter("_posterior >= 0.5").select(*[F.col(f"`{c}`") for c in docs.columns])
+    rows = docs.select(whole_rows(docs), F.col(host).cast("string").alias("host"), F.col(path).cast("string").alias("path"), F.coalesce(F.col("text"), F.lit("")).alias("_text"))
+    scored = stage(evidence(rows, labels, train_on, max_train=max_train), "evidence")
+    return _with_posterior(scored, "host", "path").filter("_posterior >= 0.5").select("doc.*")

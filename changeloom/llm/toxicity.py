@@ -23,6 +23,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from . import boosting
 from .common import bounded_batches, crc_fold, id_text, stage, unstage
@@ -190,17 +191,27 @@ def scorer(features, model: boosting.Boosted, n_features: int):
     return run
 
 
+def scored_by(rows: DataFrame, features, model: boosting.Boosted, n_features: int) -> DataFrame:
+    """``rows`` with ``_score`` in place of ``_text``."""
+    kept = [f for f in rows.schema.fields if f.name != "_text"]
+    return rows.mapInArrow(scorer(features, model, n_features), T.StructType([*kept, T.StructField("_score", T.DoubleType())]))
+
+
+def whole_rows(docs: DataFrame) -> Column:
+    """All columns as one struct, so that no name of theirs meets one that an operator adds."""
+    return F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc")
+
+
 def toxicity(docs: DataFrame, labels: DataFrame, *, label_col: str = "toxic", max_train: int = MAX_TRAIN, id_col: str = "doc_id", text_col: str = "text", train_on: DataFrame | None = None) -> DataFrame:
     """``doc_id, held_out, score, predicted`` per row."""
     base = id_text(docs, id_col, text_col)
     lexicon, model = train_toxicity(train_on if train_on is not None else base, labels, label_col, max_train)
-    scored = base.select("doc_id", F.col("text").alias("_text")).mapInArrow(scorer(lexicon.features, model, len(NAMES)), "doc_id long, _score double")
+    scored = scored_by(base.select("doc_id", F.col("text").alias("_text")), lexicon.features, model, len(NAMES))
     return scored.select("doc_id", F.coalesce(crc_fold(F.col("doc_id")) == 0, F.lit(False)).alias("held_out"), F.col("_score").alias("score"), (F.col("_score") >= 0.5).cast("int").alias("predicted"))
 
 
 def without_toxic(docs: DataFrame, labels: DataFrame, train_on: DataFrame, max_train: int = MAX_TRAIN) -> DataFrame:
     """The rows of ``docs`` whose score is below 0.5, with all columns, in one pass without a shuffle of texts."""
     lexicon, model = train_toxicity(train_on, labels, "toxic", max_train)
-    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
-    scored = docs.withColumn("_text", F.coalesce(F.col("text"), F.lit(""))).mapInArrow(scorer(lexicon.features, model, len(NAMES)), f"{kinds}, _score double")
-    return scored.filter("_score < 0.5").select(*[F.col(f"`{c}`") for c in docs.columns])
+    rows = docs.select(whole_rows(docs), F.coalesce(F.col("text"), F.lit("")).alias("_text"))
+    return scored_by(rows, lexicon.features, model, len(NAMES)).filter("_score < 0.5").select("doc.*")
