@@ -39,7 +39,11 @@ def run_silver(spark: SparkSession, bronze: str, silver: str, checkpoint: str, k
             from ..operators.merge import empty_state
 
             state.create(empty_state(batch, tombstones).schema)
-        merge_into(state, batch, key, mode, tombstones, app_id, batch_id)
+        batch.persist()  # the merge reads it twice: for the files that it touches, and for its rows
+        try:
+            merge_into(state, batch, key, mode, tombstones, app_id, batch_id)
+        finally:
+            batch.unpersist()
 
     writer = stream.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint)
     return (writer.trigger(availableNow=True) if once else writer.trigger(processingTime=every)).start()
