@@ -23,6 +23,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -34,6 +35,10 @@ HEAD = np.dtype([("doc_id", "<i8"), ("piece", "<i4"), ("length", "<i4")])
 NO_ID = -(2**63)
 END = b"\0\0\0\0"
 ROUNDS = 6
+#: Records that a task gathers by shard before it sends them.
+GATHER_ROWS = 16_384
+#: Tasks that write shards, at most.
+MOST_TASKS = 20_000
 
 
 def feistel(x: np.ndarray, n: int, key: int, inverse: bool = False) -> np.ndarray:
@@ -62,7 +67,7 @@ def feistel(x: np.ndarray, n: int, key: int, inverse: bool = False) -> np.ndarra
     return out.astype(np.int64)
 
 
-def sequences(docs: DataFrame, vocabulary: str, seq_len: int = 512, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def sequences(docs: DataFrame, vocabulary: str, seq_len: int = 256, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``part, local, doc_id, piece, ids``: 16-bit ids of each sequence, numbered within its partition."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -86,13 +91,44 @@ def sequences(docs: DataFrame, vocabulary: str, seq_len: int = 512, *, id_col: s
     return id_text(docs, id_col, text_col).mapInArrow(run, "part int, local long, doc_id long, piece int, ids binary")
 
 
-def _slots(first: dict[int, int], n: int, key: int, shard_rows: int):
+def record_type(seq_len: int) -> np.dtype:
+    return np.dtype([*HEAD.descr, ("ids", "<u2", (seq_len,))])
+
+
+def _records(doc: pa.Array, piece: pa.Array, ids: pa.Array, seq_len: int) -> np.ndarray:
+    out = np.zeros(len(ids), record_type(seq_len))
+    out["doc_id"], out["piece"] = doc.fill_null(NO_ID).to_numpy(), piece.to_numpy()
+    out["length"] = length = np.asarray(pc.binary_length(ids)) // 2
+    padded = out["ids"]
+    padded[np.arange(seq_len)[None, :] < length[:, None]] = np.frombuffer(b"".join(ids.to_pylist()), "<u2")
+    return out
+
+
+def _placed(first: np.ndarray, n: int, key: int, seq_len: int, shard_rows: int):
+    """Records with their slots, gathered by shard and compressed, so that few and small rows are shuffled."""
+
+    def blocks(held: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
+        slot, rec = (np.concatenate(x) for x in zip(*held))
+        order = np.argsort(slot, kind="stable")
+        slot, rec = slot[order], rec[order]
+        shard = slot // shard_rows
+        cuts = [0, *(np.nonzero(np.diff(shard))[0] + 1).tolist(), len(shard)]
+        packed = [pa.compress(slot[a:b].tobytes() + rec[a:b].tobytes(), "zstd", asbytes=True) for a, b in zip(cuts, cuts[1:])]
+        return pa.RecordBatch.from_arrays([pa.array(shard[cuts[:-1]]), pa.array([b - a for a, b in zip(cuts, cuts[1:])], pa.int64()), pa.array(packed, pa.binary())], ["shard", "rows", "block"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, rows = [], 0
         for b in batches:
-            if b.num_rows:
-                base = np.array([first[p] for p in b.column("part").to_pylist()], np.int64)
-                slot = feistel(base + b.column("local").to_numpy(), n, key)
-                yield pa.RecordBatch.from_arrays([pa.array(slot // shard_rows), pa.array(slot), b.column("doc_id"), b.column("piece"), b.column("ids")], ["shard", "slot", "doc_id", "piece", "ids"])
+            if not b.num_rows:
+                continue
+            slot = feistel(first[b.column("part").to_numpy()] + b.column("local").to_numpy(), n, key)
+            held.append((slot, _records(b.column("doc_id"), b.column("piece"), b.column("ids"), seq_len)))
+            rows += b.num_rows
+            if rows >= GATHER_ROWS:
+                yield blocks(held)
+                held, rows = [], 0
+        if held:
+            yield blocks(held)
 
     return run
 
@@ -101,49 +137,52 @@ def shard_name(shard: int) -> str:
     return f"shard-{shard:010d}.bin"
 
 
-def _writer(path: str, seq_len: int):
-    stride = HEAD.itemsize + 2 * seq_len
+def _writer(path: str, seq_len: int, shard_rows: int):
+    kind = record_type(seq_len)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """A partition is sorted by slot; it holds whole shards."""
+        """A partition holds whole shards, block after block; each record's place in its shard is its slot."""
         fs, top = _filesystem(path)
         fs.create_dir(top, recursive=True)
-        shard, out, temp, rows = None, None, "", 0
+        shard, records, rows = None, None, 0
 
         def close() -> pa.RecordBatch:
-            out.close()
+            temp = f"{top}/_temp-{uuid.uuid4().hex}"
+            with fs.open_output_stream(temp, compression=None) as out:
+                out.write(records[:rows].tobytes())  # slots are dense, so only the last shard is shorter
             fs.move(temp, f"{top}/{shard_name(shard)}")
             return pa.RecordBatch.from_arrays([pa.array([shard], pa.int64()), pa.array([rows], pa.int64())], ["shard", "rows"])
 
         for key, part in runs(batches, "shard"):
             if key != shard:
-                if out is not None:
+                if records is not None:
                     yield close()
-                shard, rows, temp = int(key), 0, f"{top}/_temp-{uuid.uuid4().hex}"
-                out = fs.open_output_stream(temp)
-            for doc, piece, ids in zip(part.column("doc_id").to_pylist(), part.column("piece").to_pylist(), part.column("ids").to_pylist()):
-                head = np.array((NO_ID if doc is None else doc, piece, len(ids) // 2), HEAD).tobytes()
-                out.write(head + ids + bytes(stride - len(head) - len(ids)))
-            rows += part.num_rows
-        if out is not None:
+                shard, rows, records = int(key), 0, np.zeros(shard_rows, kind)
+            for n, block in zip(part.column("rows").to_pylist(), part.column("block").to_pylist()):
+                data = pa.decompress(block, n * (8 + kind.itemsize), "zstd", asbytes=True)
+                records[np.frombuffer(data, "<i8", n) - shard * shard_rows] = np.frombuffer(data, kind, n, 8 * n)
+                rows += n
+        if records is not None:
             yield close()
 
     return run
 
 
-def write_slots(docs: DataFrame, vocabulary: str, path: str | None = None, seq_len: int = 512, shard_rows: int = 16384, key: int = 20240607, **columns: str) -> tuple[str, DataFrame, int]:
+def write_slots(docs: DataFrame, vocabulary: str, path: str | None = None, seq_len: int = 256, shard_rows: int = 32768, key: int = 20240607, **columns: str) -> tuple[str, DataFrame, int]:
     """Writes the shards; gives their folder, ``shard, rows`` per shard, and the number of sequences."""
     spark = docs.sparkSession
     path = path or f"{shared_dir(spark)}/slots-{uuid.uuid4().hex}"
     seqs = stage(sequences(docs, vocabulary, seq_len, **columns), "sequences")
     counts = sorted((r["part"], r["n"]) for r in seqs.groupBy("part").agg(F.count("*").alias("n")).collect())  # one row per input partition
-    first, n = {}, 0
+    first, n = np.zeros(counts[-1][0] + 1 if counts else 1, np.int64), 0
     for part, rows in counts:
         first[part], n = n, n + rows
     shards = -(-n // shard_rows)
-    placed = seqs.mapInArrow(_slots(first, n, key, shard_rows), "shard long, slot long, doc_id long, piece int, ids binary")
-    ranged = placed.repartitionByRange(max(1, min(shards, 20_000)), "shard").sortWithinPartitions("slot")
-    done = stage(ranged.mapInArrow(_writer(path, seq_len), "shard long, rows long"), "shards")
+    tasks = max(1, min(shards, MOST_TASKS))
+    placed = seqs.mapInArrow(_placed(first, n, key, seq_len, shard_rows), "shard long, rows long, block binary")
+    # Ranges of slots: task t writes shards t * shards / tasks and on.
+    ranged = placed.repartitionById(tasks, F.floor(F.col("shard") * tasks / max(shards, 1)).cast("int")).sortWithinPartitions("shard")
+    done = stage(ranged.mapInArrow(_writer(path, seq_len, shard_rows), "shard long, rows long"), "shards")
     unstage(seqs)
     return path, done, n
 
@@ -161,25 +200,34 @@ def read_slots(path: str, seq_len: int, first: int, last: int, shard_rows: int)
                 data = f.read(min(stop - first, 1024) * stride)
                 if not data or len(data) % stride:
                     raise ValueError(f"shard {shard} is cut off")
-                for a in range(0, len(data), stride):
-                    head = np.frombuffer(data, HEAD, 1, a)[0]
-                    ids = np.frombuffer(data, "<u2", seq_len, a + HEAD.itemsize)
-                    yield first, None if head["doc_id"] == NO_ID else int(head["doc_id"]), int(head["piece"]), ids[: head["length"]]
+                for r in np.frombuffer(data, record_type(seq_len)):
+                    yield first, None if r["doc_id"] == NO_ID else int(r["doc_id"]), int(r["piece"]), r["ids"][: r["length"]]
                     first += 1
 
 
-def slot_digests(docs: DataFrame, vocabulary: str, seq_len: int = 512, shard_rows: int = 16384, key: int = 20240607, **columns: str) -> DataFrame:
+def slot_digests(docs: DataFrame, vocabulary: str, seq_len: int = 256, shard_rows: int = 32768, key: int = 20240607, **columns: str) -> DataFrame:
     """``doc_id, piece, slot, shard, byte_offset, length, ids_crc32`` of each sequence, as read back from the written shards."""
     path, shards, _ = write_slots(docs, vocabulary, None, seq_len, shard_rows, key, **columns)
-    stride = HEAD.itemsize + 2 * seq_len
+    kind = record_type(seq_len)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        fs, top = _filesystem(path)
         for b in batches:
             for shard, n in zip(b.column("shard").to_pylist(), b.column("rows").to_pylist()):
-                rows = [(d, p, s, shard, (s - shard * shard_rows) * stride, len(i), zlib.crc32(i.astype("<u4").tobytes())) for s, d, p, i in read_slots(path, seq_len, shard * shard_rows, shard * shard_rows + n, shard_rows)]
-                if rows:
-                    cols = list(zip(*rows))
-                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64()))], ["doc_id", "piece", "slot", "shard", "byte_offset", "length", "ids_crc32"])
+                with fs.open_input_file(f"{top}/{shard_name(shard)}") as f:
+                    at = 0
+                    while data := f.read(2048 * kind.itemsize):
+                        rec = np.frombuffer(data, kind)
+                        crc = [zlib.crc32(x[:k].tobytes()) for x, k in zip(rec["ids"].astype("<u4"), rec["length"].tolist())]
+                        slot = shard * shard_rows + at + np.arange(len(rec))
+                        doc = pa.array(rec["doc_id"], mask=rec["doc_id"] == NO_ID)
+                        yield pa.RecordBatch.from_arrays(
+                            [doc, pa.array(rec["piece"]), pa.array(slot), pa.array(np.full(len(rec), shard)), pa.array((slot - shard * shard_rows) * kind.itemsize), pa.array(rec["length"].astype(np.int64)), pa.array(crc, pa.int64())],
+                            ["doc_id", "piece", "slot", "shard", "byte_offset", "length", "ids_crc32"],
+                        )
+                        at += len(rec)
+                    if at != n:
+                        raise ValueError(f"shard {shard} has {at} of {n} records")
 
     width = docs.sparkSession.sparkContext.defaultParallelism
     return shards.repartition(max(1, 2 * width), "shard").mapInArrow(run, "doc_id long, piece int, slot long, shard long, byte_offset long, length long, ids_crc32 long")
