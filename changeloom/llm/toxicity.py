@@ -135,7 +135,8 @@ def training_rows(docs: DataFrame, labels: DataFrame, label_col: str, folds: int
     known = labels.filter(F.col("doc_id").isNotNull() & F.col(label_col).isNotNull()).groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max(label_col).cast("int").alias("label"))
     known = known.filter(crc_fold(F.col("doc_id"), folds) != 0)
     known = known.orderBy(F.xxhash64("doc_id", F.lit(3)), "doc_id").limit(max_train)
-    return stage(id_text(docs).join(known, "doc_id").dropDuplicates(["doc_id"]), "train")
+    # At most max_train ids and labels are broadcast, so the texts of the corpus stay where they are.
+    return stage(id_text(docs).join(F.broadcast(known), "doc_id").dropDuplicates(["doc_id"]), "train")
 
 
 def learn_lexicon(train: DataFrame, half: Column, size: int = LEXICON) -> Lexicon:
