@@ -20,6 +20,11 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
     return out.filter("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
 
 
+def _digest(edges: DataFrame) -> tuple:
+    """Number and combined hash of the distinct edges: equal when a round has changed nothing."""
+    return tuple(edges.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v")), F.bit_xor(F.xxhash64("v", "u"))).first())
+
+
 def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     """``edges``: two long columns a and b. Returns ``id, component`` (the smallest id reachable) for every id on an edge.
 
@@ -29,15 +34,14 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     now = stage(
         edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).filter("u is not null and v is not null and u <> v").distinct(), "cc"
     )
-    first = now
+    seen = _digest(now)
     for _ in range(max_rounds):
-        # The star is reached when no node is both a centre and a leaf, and no leaf has two centres.
+        if not seen[0]:
+            break
         new = stage(_star(_star(now, True), False), "cc")
-        same = now.exceptAll(new).isEmpty() and new.exceptAll(now).isEmpty()
-        if now is not first:
-            unstage(now)
-        now = new
-        if same:
+        unstage(now)
+        now, before, seen = new, seen, _digest(new)
+        if seen == before:
             break
     else:
         raise RuntimeError("the components did not settle")

@@ -2,10 +2,11 @@
 
 1. One pass over the texts gives each document its set of distinct word shingles (64-bit hashes), a digest of the set, the
    keys of its signature bands and a short signature of 8 bits per minimum. Documents of one digest are one class.
-2. Classes that share a band are candidates. A band is never expanded into all its pairs: in each round a growing number
-   of hubs (the smallest ids of a few hash shares of the band) meet the band's other members, and only where the two are
-   not yet in one component. Linked members need no further pair, so a band that holds one group is settled in the
-   first round, and rounds go on until no band has members of two components that have not met. Nothing is capped.
+2. Classes that share a band are candidates. A band is never expanded into all its pairs. First each member meets the
+   band's smallest id; what links is one component, so a band that holds one group of near copies is settled. Then only
+   bands with members of different components are left: their members, with their signatures, are dealt out by band (large
+   bands in blocks of a bounded size that meet each other), compared where they lie, and only likely pairs come out. Both
+   steps skip pairs whose set sizes alone rule the threshold out. Nothing is capped.
 3. Candidates are verified in sequence: signatures are compared in batches of minima, and after each batch a pair goes if
    the posterior probability that its similarity reaches the threshold (uniform prior, binomial matches) is below the
    chosen miss probability. What survives is verified on the full shingle sets of the two whole texts.
@@ -29,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded_batches, id_text, stage, unstage
+from .common import bounded_batches, id_text, runs, stage, unstage
 from .graph import connected_components
 
 SHINGLE = 5
@@ -39,8 +40,8 @@ BANDS, ROWS = 48, 5
 STEP = 24
 #: A pair is dropped when the probability that it reaches the threshold falls below this.
 MISS = 1e-6
-#: Hubs of a band in each round.
-HUBS = (1, 16, 256, 4096, 65536)
+#: Members of a band that one task holds at a time.
+BLOCK = 2048
 
 _SET = "doc_id long, n_shingles long, digest binary, bands array<long>, signature binary"
 _SEED = np.random.Generator(np.random.PCG64(20240607))
@@ -140,20 +141,99 @@ def least_matches(at_least: float, miss: float) -> tuple[int, ...]:
     return tuple(out)
 
 
+def _alive(x: np.ndarray, y: np.ndarray, i: np.ndarray, j: np.ndarray, least: tuple[int, ...]) -> np.ndarray:
+    """Which of the pairs (row i of x, row j of y) pass every batch of minima."""
+    alive, hits = np.arange(len(i)), np.zeros(len(i), np.int64)
+    for k, bound in enumerate(least):
+        if not len(alive):
+            break
+        cut = slice(k * STEP, (k + 1) * STEP)
+        hits[alive] += (x[i[alive], cut] == y[j[alive], cut]).sum(axis=1)
+        alive = alive[hits[alive] >= bound]
+    return alive
+
+
+def _signatures(column: pa.Array) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(len(column), -1)
+
+
 def _likely(at_least: float, miss: float):
     least = least_matches(at_least, miss)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            if not b.num_rows:
-                continue
-            x, y = (np.frombuffer(b"".join(b.column(c).to_pylist()), np.uint8).reshape(b.num_rows, -1) for c in ("sa", "sb"))
-            alive, hits = np.arange(b.num_rows), np.zeros(b.num_rows, np.int64)
-            for k, bound in enumerate(least):
-                cut = slice(k * STEP, (k + 1) * STEP)
-                hits[alive] += (x[alive, cut] == y[alive, cut]).sum(axis=1)
-                alive = alive[hits[alive] >= bound]
-            yield pa.RecordBatch.from_arrays([b.column("a").take(pa.array(alive)), b.column("b").take(pa.array(alive))], ["a", "b"])
+            if b.num_rows:
+                at = np.arange(b.num_rows)
+                alive = pa.array(_alive(_signatures(b.column("sa")), _signatures(b.column("sb")), at, at, least))
+                yield pa.RecordBatch.from_arrays([b.column("a").take(alive), b.column("b").take(alive)], ["a", "b"])
+
+    return run
+
+
+def _met(percent: int, miss: float):
+    """Compares the members of a band (a block of it, and those that come to meet it) and gives the likely pairs only.
+
+    A partition is sorted by group, the group's own members first; a task holds one block and one batch.
+    """
+    least = least_matches(percent / 100, miss)
+
+    def read(part: pa.RecordBatch) -> tuple[np.ndarray, ...]:
+        return (*(part.column(c).to_numpy() for c in ("rep", "comp", "size")), _signatures(part.column("signature")))
+
+    def pairs(one: tuple[np.ndarray, ...], two: tuple[np.ndarray, ...], own: bool) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        for a in range(0, len(one[0]), 256):
+            rep, comp, size, sig = (x[a : a + 256] for x in one)
+            ok = comp[:, None] != two[1][None, :]
+            if own:  # each pair once
+                ok &= np.arange(a, a + len(rep))[:, None] < np.arange(len(two[0]))[None, :]
+            ok &= 100 * np.minimum(size[:, None], two[2][None, :]) >= percent * np.maximum(size[:, None], two[2][None, :])
+            i, j = np.nonzero(ok)
+            for c in range(0, len(i), 100_000):
+                x, y = i[c : c + 100_000], j[c : c + 100_000]
+                alive = _alive(sig, two[3], x, y, least)
+                if len(alive):
+                    yield rep[x[alive]], two[0][y[alive]]
+
+    def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        group, held, home = None, [], None
+
+        def own() -> tuple[np.ndarray, ...]:
+            return tuple(np.concatenate(x) for x in zip(*held)) if len(held) > 1 else held[0]
+
+        for key, part in runs(batches, "grp"):
+            if key != group:
+                if home is None and held:
+                    home = own()
+                    yield from pairs(home, home, True)
+                group, held, home = key, [], None
+            probe = part.column("probe").to_numpy(zero_copy_only=False)
+            n = int((~probe).sum())
+            if n:
+                held.append(read(part.slice(0, n)))
+            if n < part.num_rows and held:
+                if home is None:
+                    home = own()
+                    yield from pairs(home, home, True)
+                yield from pairs(read(part.slice(n)), home, False)
+        if home is None and held:
+            home = own()
+            yield from pairs(home, home, True)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        left, right, n = [], [], 0
+
+        def batch() -> pa.RecordBatch:
+            x, y = np.concatenate(left), np.concatenate(right)
+            return pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y))], ["a", "b"])
+
+        for x, y in compared(batches):
+            left.append(x), right.append(y)
+            n += len(x)
+            if n >= 100_000:
+                yield batch()
+                left, right, n = [], [], 0
+        if n:
+            yield batch()
 
     return run
 
@@ -184,55 +264,55 @@ def near_duplicates(docs: DataFrame, percent: int = 75, *, miss: float = MISS, i
     sets = stage(texts.mapInArrow(_sets, _SET), "shingle-sets")
     usable = sets.filter("digest is not null and doc_id is not null")
     classes = usable.groupBy("digest").agg(F.min("doc_id").alias("rep"))
-    reps = usable.join(classes, "digest").filter("doc_id = rep").dropDuplicates(["rep"]).select("rep", "bands", "signature")
+    reps = usable.join(classes, "digest").filter("doc_id = rep").dropDuplicates(["rep"]).select("rep", F.col("n_shingles").alias("size"), "bands", "signature")
     reps = stage(reps, "shingle-reps")
 
-    keys = reps.select("rep", F.explode("bands").alias("band"))
-    shared = keys.groupBy("band").agg(F.count("*").alias("n")).filter("n > 1").select("band")
-    open_bands = stage(keys.join(shared, "band"), "bands")
-    members = open_bands.select("rep").distinct()
+    keys = reps.select("rep", "size", F.explode("bands").alias("band"))
+    shared = keys.groupBy("band").agg(F.count("*").alias("n"), F.min(F.struct("rep", "size")).alias("hub")).filter("n > 1")
+    bands = stage(keys.join(shared, "band").select("band", "rep", "size", "n", F.col("hub.rep").alias("hub"), F.col("hub.size").alias("hub_size")), "bands")
+    members = bands.select("rep").distinct()
     wanted = stage(texts.join(members, texts["doc_id"] == members["rep"], "left_semi").dropDuplicates(["doc_id"]), "shingle-texts")
     signatures = stage(reps.join(members, "rep", "left_semi").select("rep", "signature"), "signatures")
 
-    links = comp = None
-    for hubs in HUBS:
-        labelled = open_bands.withColumn("comp", F.col("rep"))
-        if comp is not None:
-            labelled = open_bands.join(comp, open_bands["rep"] == comp["id"], "left").select("rep", "band", F.coalesce("component", "rep").alias("comp"))
-        mixed = labelled.groupBy("band").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo < hi").select("band")
-        left = stage(labelled.join(mixed, "band"), "open-bands")
-        unstage(open_bands)
-        if left.isEmpty():
-            break
-        hub = left.groupBy("band", F.pmod(F.xxhash64("rep"), F.lit(hubs)).alias("share")).agg(F.min(F.struct("rep", "comp")).alias("h")).select("band", F.col("h.rep").alias("hub"), F.col("h.comp").alias("hub_comp"))
-        met = left.join(hub, "band")
-        pairs = met.filter("comp <> hub_comp").select(F.least("hub", "rep").alias("a"), F.greatest("hub", "rep").alias("b")).distinct()
-        sig = lambda name, key: signatures.select(F.col("rep").alias(key), F.col("signature").alias(name))
-        likely = stage(pairs.join(sig("sa", "a"), "a").join(sig("sb", "b"), "b").mapInArrow(_likely(percent / 100, miss), "a long, b long"), "likely")
+    def confirmed(likely: DataFrame) -> DataFrame:
         text = lambda name, key: wanted.select(F.col("doc_id").alias(key), F.col("text").alias(name))
         both = likely.join(text("tb", "b"), "b").join(text("ta", "a"), "a").sortWithinPartitions("a")
-        new = stage(both.mapInArrow(_confirmed(percent), "a long, b long"), "links")
-        links = new if links is None else links.union(new)
+        return stage(both.mapInArrow(_confirmed(percent), "a long, b long"), "links")
+
+    # Each member of a band meets the band's smallest id.
+    fits = (100 * F.least("size", "hub_size") >= percent * F.greatest("size", "hub_size")) & (F.col("rep") != F.col("hub"))
+    pairs = bands.filter(fits).select(F.col("hub").alias("a"), F.col("rep").alias("b")).distinct()
+    sig = lambda name, key: signatures.select(F.col("rep").alias(key), F.col("signature").alias(name))
+    links = confirmed(stage(pairs.join(sig("sa", "a"), "a").join(sig("sb", "b"), "b").mapInArrow(_likely(percent / 100, miss), "a long, b long"), "likely"))
+    comp = connected_components(links)
+
+    # Members of different components that have not met, band by band.
+    labelled = bands.filter("rep <> hub").join(comp, bands["rep"] == comp["id"], "left").select("band", "rep", "size", "n", F.coalesce("component", "rep").alias("comp"))
+    mixed = labelled.groupBy("band").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo < hi").select("band")
+    left = labelled.join(mixed, "band").join(signatures, "rep")
+    left = left.withColumn("block", F.pmod(F.xxhash64("rep"), F.ceil(F.col("n") / BLOCK)))
+    group = lambda block: F.xxhash64("band", block).alias("grp")
+    home = left.select(group(F.col("block")), F.lit(False).alias("probe"), "rep", "comp", "size", "signature")
+    probes = left.filter("block > 0").withColumn("to", F.explode(F.sequence(F.lit(0).cast("long"), F.col("block") - 1)))
+    probes = probes.select(group(F.col("to")), F.lit(True).alias("probe"), "rep", "comp", "size", "signature")
+    met = home.union(probes).repartition("grp").sortWithinPartitions("grp", "probe")
+    likely = stage(met.mapInArrow(_met(percent, miss), "a long, b long").distinct(), "likely")
+    if not likely.isEmpty():
+        links = stage(links.union(confirmed(likely)), "links")
         comp = connected_components(links)
-        # A hub has met every member of its band.
-        open_bands = left.join(hub.select("band", F.col("hub").alias("rep")), ["band", "rep"], "left_anti").select("rep", "band")
-        open_bands = stage(open_bands, "bands")
-        unstage(left, likely)
-    else:
-        if not open_bands.isEmpty():
-            raise RuntimeError("a band has more members that do not link than the rounds can meet")
+    unstage(bands, likely)
 
     out = sets.join(classes, "digest", "left")
-    if comp is not None:
-        out = out.join(comp, out["rep"] == comp["id"], "left")
-    else:
-        out = out.withColumn("component", F.lit(None).cast("long"))
+    out = out.join(comp, out["rep"] == comp["id"], "left")
     comp_id = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "rep", "doc_id"))
     return out.select("doc_id", "n_shingles", comp_id.alias("component_id"), F.coalesce(F.col("doc_id") == comp_id, F.lit(True)).alias("kept"))
 
 
 def without_near_duplicates(docs: DataFrame, percent: int = 75) -> DataFrame:
     """The rows of one document (the smallest id) of each component, with all columns of ``docs``; a repeated row stays once."""
-    kept = near_duplicates(docs, percent).filter("kept").select(F.col("doc_id").alias("_kept_id")).distinct()
-    known = docs.join(kept, F.col("doc_id").eqNullSafe(kept["_kept_id"]), "left_semi")
-    return known.filter("doc_id is not null").dropDuplicates(["doc_id"]).unionByName(known.filter("doc_id is null"))
+    kept = near_duplicates(docs, percent).filter("kept and doc_id is not null").select(F.col("doc_id").alias("_kept_id")).distinct()
+    named = docs.filter("doc_id is not null")
+    out = named.join(kept, F.col("doc_id") == F.col("_kept_id"), "left_semi")
+    if not named.groupBy("doc_id").count().filter("count > 1").isEmpty():  # reads ids only; texts are sorted only where ids repeat
+        out = out.dropDuplicates(["doc_id"])
+    return out.unionByName(docs.filter("doc_id is null"))
