@@ -31,8 +31,8 @@ from pyspark.sql import DataFrame
 
 from .common import bounded_batches, id_text
 
-MEMO_ENTRIES = 150_000
-STATES = 200_000
+MEMO_ENTRIES = 400_000
+STATES = 400_000
 NONE = -1
 
 
@@ -53,39 +53,88 @@ class Transducer:
     def __init__(self, ranks: dict[bytes, int]):
         self.ranks = ranks
         self.tokens: dict[int, bytes] = {r: t for t, r in ranks.items()}
-        self.longest = max(map(len, ranks))
-        self.begins = {t[:n] for t in ranks for n in range(1, len(t) + 1)}
-        self.pairs: dict[tuple[int, int], bool] = {}
+        # Vocabulary entries as a trie: (node, byte) -> node; a node's token; whether entries go on from it.
+        self.go: dict[int, int] = {}
+        self.token, self.more = [NONE], [True]
+        for data, rank in ranks.items():
+            node = 0
+            for byte in data:
+                to = self.go.get(node << 8 | byte)
+                if to is None:
+                    to = self.go[node << 8 | byte] = len(self.token)
+                    self.token.append(NONE), self.more.append(False)
+                    self.more[node] = True
+                node = to
+            self.token[node] = rank
+        self.pairs: dict[int, bool] = {}
+        self.split: dict[int, tuple[int, int] | None] = {}
         self._reset()
 
     def _reset(self) -> None:
-        # A state: last emitted token, pending bytes, last token of each pending prefix, live positions.
-        self.states: list[tuple[int, bytes, tuple[int, ...], tuple[int, ...]]] = [(NONE, b"", (), (0,))]
+        # A state: last emitted token (if a token may begin right after it), pending bytes, last token of each pending
+        # prefix; then of each live position its place, its trie node, and the end of the first token on the way to it.
+        self.states: list[tuple[int, bytes, tuple[int, ...], tuple[int, ...], tuple[int, ...], tuple[int, ...]]] = [(NONE, b"", (), (0,), (0,), (0,))]
         self.index: dict[tuple[int, bytes], int] = {(NONE, b""): 0}
         self.moves: dict[int, tuple[int, tuple[int, ...]]] = {}
 
-    def merged(self, piece: bytes) -> list[int]:
-        """The ids by the definition: the adjacent pair of lowest rank merges, leftmost first."""
-        parts = [piece[i : i + 1] for i in range(len(piece))]
-        ranks = self.ranks
-        while len(parts) > 1:
-            best, at = min((ranks.get(parts[i] + parts[i + 1], 1 << 60), i) for i in range(len(parts) - 1))
-            if best == 1 << 60:
+    def merged(self, piece: bytes, stop: int = 1) -> list[int]:
+        """The ids by the definition: the adjacent pair of lowest rank merges, leftmost first, until ``stop`` parts are left."""
+        parts, get, none = [piece[i : i + 1] for i in range(len(piece))], self.ranks.get, 1 << 60
+        scores = [get(a + b, none) for a, b in zip(parts, parts[1:])]
+        while len(parts) > stop:
+            best = min(scores, default=none)
+            if best == none:
                 break
+            at = scores.index(best)
             parts[at : at + 2] = [parts[at] + parts[at + 1]]
-        return [ranks[p] for p in parts]
+            del scores[at]
+            if at:
+                scores[at - 1] = get(parts[at - 1] + parts[at], none)
+            if at < len(scores):
+                scores[at] = get(parts[at] + parts[at + 1], none)
+        return [self.ranks[p] for p in parts]
+
+    def halves(self, token: int) -> tuple[int, int] | None:
+        """The two tokens that the last merge of a token joins; None for a single byte and for one that merging doesn't give."""
+        if token not in self.split:
+            data = self.tokens[token]
+            parts = self.merged(data, 2) if len(data) > 1 else []
+            self.split[token] = (parts[0], parts[1]) if len(parts) == 2 and self.merged(data) == [token] else None
+        return self.split[token]
+
+    def whole(self, token: int) -> bool:
+        """Whether merging a token's own bytes gives it; others occur only as whole pieces."""
+        return len(self.tokens[token]) == 1 or self.halves(token) is not None
 
     def fits(self, a: int, b: int) -> bool:
-        """Whether the two tokens stay two when their bytes are encoded together."""
-        if a == NONE:
-            return True
-        known = self.pairs.get((a, b))
+        """Whether the two tokens stay two when their bytes are encoded together.
+
+        Merging goes by rising rank, so it is undone from the top: the tokens at the seam are taken apart, the one of
+        higher rank first, and at each stage their concatenation must not be a token whose merge would have come
+        before the one that was just undone. Right parts of ``a`` lose ties to nothing; left parts of ``b`` win them.
+        """
+        key = a << 32 | b
+        known = self.pairs.get(key)
         if known is None:
             if len(self.pairs) > STATES:
                 self.pairs.clear()
-            known = self.pairs[a, b] = self.merged(self.tokens[a] + self.tokens[b]) == [a, b]
+            known = self.pairs[key] = self.whole(b) and (a == NONE or self._apart(a, b))
         return known
 
+    def _apart(self, a: int, b: int) -> bool:
+        tokens, ranks, until = self.tokens, self.ranks, 1 << 60
+        while True:
+            joint = ranks.get(tokens[a] + tokens[b])
+            if joint is not None and joint < until:
+                return False
+            ha, hb = self.halves(a), self.halves(b)
+            if ha is None and hb is None:
+                return True
+            if hb is None or ha is not None and a > b:
+                until, a = a, ha[1]
+            else:  # the merge to the left comes first among equals
+                until, b = b + 1, hb[0]
+
     def _chain(self, last: tuple[int, ...], p: int) -> list[int]:
         """Ends of the tokens that lead to position p, from p back."""
         stops = []
@@ -95,27 +144,34 @@ class Transducer:
         return stops
 
     def _step(self, state: int, byte: int) -> tuple[int, tuple[int, ...]]:
-        before, pending, last, live = self.states[state]
+        before, pending, last, live, nodes, roots = self.states[state]
         pending += bytes((byte,))
-        n = len(pending)
-        for q in live:  # a token begins at a live position; exactly one that ends here is compatible
-            t = self.ranks.get(pending[q:])
-            if t is not None and self.fits(last[q - 1] if q else before, t) and self.merged_alone(t):
-                break
-        else:
+        n, found, root, go, token, more = len(pending), NONE, 0, self.go, self.token, self.more
+        on: list[tuple[int, int, int]] = []
+        for p, node, r in zip(live, nodes, roots):
+            to = go.get(node << 8 | byte)
+            if to is None:
+                continue
+            # A token that ends here begins at a live position, and exactly one is compatible with what leads there.
+            if found == NONE and token[to] != NONE and self.fits(last[p - 1] if p else before, token[to]):
+                found, root = token[to], r if p else n
+            if more[to]:
+                on.append((p, to, r))
+        if found == NONE:
             raise ValueError("a byte is no token of this vocabulary")
-        last += (t,)
-        live = (*(p for p in live if pending[p:] in self.begins), n)
-        certain, emit = 0, ()
-        if live[0]:
-            common = self._chain(last, live[0])
-            for p in live[1:]:
-                chain = set(self._chain(last, p))
-                common = [s for s in common if s in chain]
-            certain = max(common, default=0)
-        if certain:
-            emit = tuple(last[s - 1] for s in reversed(self._chain(last, certain)))
-            before, pending, last, live = emit[-1], pending[certain:], last[certain:], tuple(p - certain for p in live)
+        on.append((n, 0, root))
+        last += (found,)
+        emit: tuple[int, ...] = ()
+        while on[0][0]:
+            cut = on[0][2]
+            if any(r != cut for _, _, r in on):
+                break
+            before = last[cut - 1]  # all ways lead through this token: it is certain
+            emit += (before,)
+            pending, last = pending[cut:], last[cut:]
+            on = [(p - cut, to, self._chain(last, p - cut)[-1] if p > cut else 0) for p, to, _ in on]
+        if on[0][0]:
+            before = NONE  # nothing begins there any more
         key = (before, pending)
         to = self.index.get(key)
         if to is None:
@@ -123,19 +179,11 @@ class Transducer:
                 self._reset()
                 state = -1
             to = self.index[key] = len(self.states)
-            self.states.append((before, pending, last, live))
+            self.states.append((before, pending, last, *zip(*on)))
         if state >= 0:
             self.moves[state << 8 | byte] = to, emit
         return to, emit
 
-    def merged_alone(self, token: int) -> bool:
-        """Whether merging a token's own bytes gives it; others occur only as whole pieces."""
-        key = (token, NONE)
-        known = self.pairs.get(key)
-        if known is None:
-            known = self.pairs[key] = self.merged(self.tokens[token]) == [token]
-        return known
-
     def feed(self, state: int, data: bytes, out: list[int]) -> int:
         for byte in data:
             move = self.moves.get(state << 8 | byte)
@@ -145,7 +193,7 @@ class Transducer:
         return state
 
     def finish(self, state: int, out: list[int]) -> None:
-        _, pending, last, _ = self.states[state]
+        _, pending, last, *_ = self.states[state]
         out += [last[s - 1] for s in reversed(self._chain(last, len(pending)))]
 
     def encode(self, piece: bytes) -> list[int]:
@@ -208,6 +256,7 @@ class ByteBpe:
         self.double = regex.compile(r"\s\s|[\x00\s]\Z")
         self.memo: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
+        self.pieces: dict[str, list[int]] = {}
 
     def _chunks(self, text: str) -> list[str]:
         if self.double.search(text) or "\0" in text:
@@ -217,7 +266,14 @@ class ByteBpe:
     def _encoded(self, chunk: str) -> bytes:
         ids: list[int] = []
         for piece in self.pattern.findall(chunk):
-            ids += self.transducer.encode(piece.encode("utf-8"))
+            known = self.pieces.get(piece)
+            if known is None:
+                known = self.transducer.encode(piece.encode("utf-8"))
+                if len(piece) <= 64:
+                    if len(self.pieces) >= MEMO_ENTRIES:
+                        self.pieces.clear()
+                    self.pieces[piece] = known
+            ids += known
         return np.array(ids, dtype="<u4").tobytes()
 
     def encode(self, text: str) -> bytes:
