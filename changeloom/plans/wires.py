@@ -76,10 +76,10 @@ def frame_demux(spark, sf_dir):
 def _items(spark, sf_dir):
     """Orders as JSON items: every 50th is a story, the others hang below the item of a fifth of their number."""
     k = F.col("o_orderkey")
-    o = table(spark, sf_dir, "orders").filter("o_orderkey between 1 and 4999")
+    o = table(spark, sf_dir, "orders")
     story = k < 5
     kids = F.transform(F.sequence(F.lit(0), F.lit(4)), lambda i: k * 5 + i)
-    item = F.struct(k.alias("id"), F.when(story, "story").otherwise("comment").alias("type"), F.when(k % 4 != 0, F.concat(F.lit("u"), (k % 10).cast("string"))).alias("by"), k.alias("time"), F.when(k % 17 == 0, True).alias("deleted"), F.filter(kids, lambda x: x < 5000).alias("kids"))
+    item = F.struct(k.alias("id"), F.when(story, "story").otherwise("comment").alias("type"), F.when(k % 4 != 0, F.concat(F.lit("u"), (k % 10).cast("string"))).alias("by"), k.alias("time"), F.when(k % 17 == 0, True).alias("deleted"), kids.alias("kids"))
     return items.parsed(o.select(F.when(k % 1000 == 999, "{broken").otherwise(F.to_json(item)).alias("value")))
 
 

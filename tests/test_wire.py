@@ -173,3 +173,22 @@ def test_table_filter_holds_for_the_stream(spark, tmp_path):
     run_bronze(spark, f"{tmp_path}/feed", f"file://{tmp_path}/out", f"{tmp_path}/check", only=frozenset({"secondary_test"}), received_us=1).awaitTermination()
     assert not ChangeTable(spark, f"file://{tmp_path}/out/integration_test").exists()
     assert ChangeTable(spark, f"file://{tmp_path}/out/secondary_test").read().count() == 10
+
+
+def test_items_of_all_orders(spark):
+    """Beyond key 4999, where the registered SQL of item_comments ends."""
+    from changeloom.plans import wires
+
+    top = "/root/testdata/sf0.01"
+    keys = [r[0] for r in spark.read.parquet(f"{top}/orders.parquet").select("o_orderkey").collect()]
+    assert max(keys) > 4999
+    read = {k for k in keys if k % 1000 != 999}
+    live = {k for k in read if k >= 5 and k % 17}
+    expected, level = set(), [(k, k) for k in read if k < 5]
+    while level:
+        level = [(c, s) for k, s in level for c in range(5 * k, 5 * k + 5) if c in live]
+        expected |= {(c, s, c // 5 if c >= 25 else None, c) for c, s in level}
+    assert {tuple(r) for r in wires.item_comments(spark, top).collect()} == expected
+    parsed = wires._items(spark, top)
+    assert {r["id"] for r in parsed.select("id").collect()} == read
+    assert {r["id"] for r in wires.item_authors(spark, top).collect()} == {f"u{k % 10}" for k in read if k % 4}
