@@ -8,6 +8,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .walks import descendants
+
 #: How each listing is ordered; ``rank`` is the default.
 STRATEGIES = ("rank", "votes", "latest", "show")
 
@@ -78,14 +80,10 @@ def exists_in(rows: DataFrame, others: DataFrame, key: str, present: bool = True
     return rows.join(others.select(F.col(key).alias("_k")).distinct(), F.col(key) == F.col("_k"), "left_semi" if present else "left_anti")
 
 
-def thread_tree(items: DataFrame, roots: DataFrame, key: str = "id", parent: str = "parent_id", max_depth: int = 100) -> DataFrame:
-    """J5: ``id, root, depth`` of all that hangs below the roots, by a recursive query."""
-    spark = items.sparkSession
-    sql = f"""WITH RECURSIVE tree(id, root, depth) MAX RECURSION LEVEL {max_depth} AS (
-        SELECT {key} AS id, {key} AS root, 0 AS depth FROM {{roots}}
-        UNION ALL SELECT i.{key}, t.root, t.depth + 1 FROM tree t JOIN {{items}} i ON i.{parent} = t.id AND i.{key} <> t.id)
-        SELECT id, root, depth FROM tree"""
-    return spark.sql(sql, items=items, roots=roots)
+def thread_tree(items: DataFrame, roots: DataFrame, key: str = "id", parent: str = "parent_id") -> DataFrame:
+    """J5: ``id, root, depth`` of all that hangs below the roots, however deep; an item that is its own parent hangs below nothing."""
+    edges = items.filter(F.col(parent) != F.col(key)).select(F.col(key).alias("id"), F.col(parent).alias("up"))
+    return descendants(edges, roots.select(F.col(key).alias("id"))).select("id", "root", F.col("depth").cast("int").alias("depth"))
 
 
 def live_items(items: DataFrame, kind: str) -> DataFrame:

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.walks import descendants
+
 #: The fields of an item and of a user.
 ITEM = "id long, title string, url string, score int, by string, descendants int, time long, type string, deleted boolean, dead boolean, text string, parent long, kids array<long>"
 USER = "id string, created int, karma int, about string, submitted array<int>"
@@ -26,22 +28,16 @@ def stories(items: DataFrame, ranks: DataFrame | None = None) -> DataFrame:
     return out.join(ranks.select(F.col("id").alias("_id"), F.col("hn_rank").cast("int").alias("hn_rank")), F.col("id") == F.col("_id"), "left").drop("_id")
 
 
-def comments(items: DataFrame, max_depth: int = 100) -> DataFrame:
-    """``id, story_id, parent_id, text, by, posted_at`` of what hangs below the stories.
+def comments(items: DataFrame) -> DataFrame:
+    """``id, story_id, parent_id, text, by, posted_at`` of what hangs below the stories, however deep.
 
     A deleted or dead comment is passed over with all below it; comments directly below a story have no parent.
     """
-    spark = items.sparkSession
     edges = items.filter("kids is not null").select(F.col("id").alias("up"), F.explode("kids").alias("down"))
     live = items.filter("type = 'comment' and not coalesce(deleted, false) and not coalesce(dead, false)").select("id")
     steps = edges.join(live, F.col("down") == live["id"], "left_semi")
-    tree = spark.sql(
-        f"""WITH RECURSIVE tree(id, story_id, parent_id) MAX RECURSION LEVEL {max_depth} AS (
-        SELECT e.down, s.id, CAST(NULL AS BIGINT) FROM {{stories}} s JOIN {{steps}} e ON e.up = s.id
-        UNION ALL SELECT e.down, t.story_id, t.id FROM tree t JOIN {{steps}} e ON e.up = t.id)
-        SELECT id AS _id, story_id, parent_id FROM tree""",
-        stories=items.filter("type = 'story'").select("id"), steps=steps,
-    )
+    above = descendants(steps.select(F.col("down").alias("id"), "up"), items.filter("type = 'story'").select("id"))
+    tree = steps.join(above, F.col("up") == above["id"]).select(F.col("down").alias("_id"), F.col("root").alias("story_id"), F.when(F.col("depth") > 0, F.col("up")).alias("parent_id"))
     return items.join(tree, F.col("id") == F.col("_id")).select("id", "story_id", "parent_id", _text("text"), _text("by"), F.timestamp_seconds(F.coalesce("time", F.lit(0))).alias("posted_at"))
 
 

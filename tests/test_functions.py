@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import pytest
 from pyspark.sql import functions as F
 
 from changeloom.functions import pgtypes, text
@@ -138,3 +139,27 @@ def test_results_and_snapshots_are_written_once(spark, tmp_path):
     t = ChangeTable(spark, f"file://{tmp_path}/t")
     assert land_snapshot(t, spark.range(2)) and not land_snapshot(t, spark.range(5))
     assert t.read().count() == 2
+
+
+def test_hierarchies_have_no_row_or_depth_cap(spark):
+    from changeloom.sources import items
+
+    key = "spark.sql.cteRecursionRowLimit"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "50")
+    try:
+        chain = spark.range(1, 301).select("id", (F.col("id") - 1).alias("parent_id"))
+        got = serving.thread_tree(chain, chain.filter("id in (1, 250)")).collect()
+        assert sorted(tuple(r) for r in got) == sorted([(i, 1, i - 1) for i in range(1, 301)] + [(i, 250, i - 250) for i in range(250, 301)])
+        texts = spark.range(1, 201).select(F.to_json(F.struct("id", F.when(F.col("id") == 1, "story").otherwise("comment").alias("type"), F.array(F.col("id") + 1).alias("kids"))).alias("value"))
+        rows = items.comments(items.parsed(texts)).select("id", "story_id", "parent_id").collect()
+        assert sorted((tuple(r) for r in rows), key=str) == sorted(((i, 1, i - 1 if i > 2 else None) for i in range(2, 201)), key=str)
+    finally:
+        spark.conf.set(key, before)
+
+
+def test_loops_in_hierarchies(spark):
+    items = spark.createDataFrame([(1, 0), (2, 1), (7, 8), (8, 7), (9, 8)], "id long, parent_id long")
+    assert sorted(tuple(r) for r in serving.thread_tree(items, items.filter("id = 1")).collect()) == [(1, 1, 0), (2, 1, 1)]
+    with pytest.raises(ValueError, match="loop"):
+        serving.thread_tree(items, items.filter("id = 8"))
