@@ -307,6 +307,14 @@ class ByteBpe:
             yield stream.feed(self.decode_bytes(ids))
         yield stream.finish()
 
+    def decoded(self, ids: bytes, step: int = 16384) -> tuple[str, list[str]]:
+        """The digest of the text's UTF-8 bytes and the text in parts, as the stream decodes ``step`` bytes of ids at a time."""
+        sha, parts = hashlib.sha256(), []
+        for part in self.decode_stream(ids[a : a + step] for a in range(0, len(ids), step)):
+            sha.update(part.encode("utf-8"))
+            parts.append(part)
+        return sha.hexdigest(), parts
+
 
 _CODECS: dict[tuple[str, str], ByteBpe] = {}
 
@@ -327,14 +335,14 @@ def encoded_documents(docs: DataFrame, ranks_path: str, pattern: str, *, id_col:
             n, ids_sha, text_sha, kept, texts = [], [], [], [], []
             for text in b.column("text").to_pylist():
                 ids = bpe.encode(text)
-                back = bpe.decode_bytes(ids)
+                digest, parts = bpe.decoded(ids)
                 n.append(len(ids) // 4)
                 ids_sha.append(hashlib.sha256(ids).hexdigest())
-                text_sha.append(hashlib.sha256(back).hexdigest())
+                text_sha.append(digest)
                 if keep_ids:
                     kept.append(ids)
                 if keep_text:
-                    texts.append("".join(bpe.decode_stream(ids[a : a + 16384] for a in range(0, len(ids), 16384))))
+                    texts.append("".join(parts))
             cols = [b.column("doc_id"), pa.array(n, pa.int64()), pa.array(ids_sha, pa.string()), pa.array(text_sha, pa.string())]
             names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
             if keep_ids:

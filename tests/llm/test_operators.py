@@ -212,6 +212,17 @@ def test_bpe_documents(spark):
     assert all(r["decoded_sha256"] == hashlib.sha256(r["text"].encode()).hexdigest() for r in got)
 
 
+def test_bpe_digest_comes_from_the_stream(reference):
+    codec = bpe.codec(RANKS, public_tokenizers.PATTERN)
+    text = "naïve 漢字 😀 " * 50
+    ids = codec.encode(text)
+    for step in (4, 12, 16384):
+        digest, parts = codec.decoded(ids, step)
+        assert "".join(parts) == text and digest == hashlib.sha256(text.encode()).hexdigest()
+    cut = np.array([next(i for i, t in codec.table.items() if t == b"\xf0")], "<u4").tobytes()  # a lead byte alone: the stream gives a replacement sign
+    assert codec.decoded(cut)[0] == hashlib.sha256("\ufffd".encode()).hexdigest()
+
+
 # 4 and 8
 
 
