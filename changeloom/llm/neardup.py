@@ -10,12 +10,13 @@
 3. Candidates are verified in sequence: signatures are compared in batches of minima, and after each batch a pair goes if
    the posterior probability that its similarity reaches the threshold (uniform prior, binomial matches) is below the
    chosen miss probability. What survives is verified on the full shingle sets of the two whole texts.
-4. Links are united into components, and classes give their component to their documents.
+4. Links are united into components, and classes give their component to their rows.
 
 Defined cases: a null or empty text, or one without words, has an empty set and links with nothing; a text with fewer
 words than a shingle has its whole word sequence as its one shingle; a row with a null id keeps its row, has a null
-component and is kept; rows that repeat an id are one document of several rows; no rows give no rows. Other columns
-of the input are not read.
+component and is kept; rows that repeat an id each have the component of their own text; a component is named by the
+smallest id of its rows, so the rows of one id with texts that are not linked may lie in different components of the
+same name; no rows give no rows. Other columns of the input are not read.
 """
 
 from __future__ import annotations
@@ -27,7 +28,7 @@ from math import comb
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import bounded_batches, id_text, runs, stage, unstage
@@ -43,7 +44,7 @@ MISS = 1e-6
 #: Members of a band that one task holds at a time.
 BLOCK = 2048
 
-_SET = "doc_id long, n_shingles long, digest binary, bands array<long>, signature binary"
+_SET = "doc_id long, mark long, n_shingles long, digest binary, bands array<long>, signature binary"
 _SEED = np.random.Generator(np.random.PCG64(20240607))
 _A = _SEED.integers(1, 2**63, BANDS * ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _B = _SEED.integers(0, 2**63, BANDS * ROWS, dtype=np.uint64)
@@ -121,7 +122,7 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 signature.append(_mixed(m).astype(np.uint8).tobytes())
             else:
                 digest.append(None), bands.append(None), signature.append(None)
-        yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(n, pa.int64()), pa.array(digest, pa.binary()), pa.array(bands, pa.list_(pa.int64())), pa.array(signature, pa.binary())], ["doc_id", "n_shingles", "digest", "bands", "signature"])
+        yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("mark"), pa.array(n, pa.int64()), pa.array(digest, pa.binary()), pa.array(bands, pa.list_(pa.int64())), pa.array(signature, pa.binary())], ["doc_id", "mark", "n_shingles", "digest", "bands", "signature"])
 
 
 @lru_cache
@@ -257,25 +258,38 @@ def _confirmed(percent: int):
     return run
 
 
+def _mark(text: Column) -> Column:
+    """Tells the texts of one id apart."""
+    return F.xxhash64(F.coalesce(text.cast("string"), F.lit("")))
+
+
 def near_duplicates(docs: DataFrame, percent: int = 75, *, miss: float = MISS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, n_shingles, component_id, kept`` per row of ``docs``; links have 100 * intersection >= percent * union."""
+    return _grouped(docs, percent, miss, id_col, text_col).select("doc_id", "n_shingles", "component_id", "kept")
+
+
+def _grouped(docs: DataFrame, percent: int, miss: float = MISS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The columns of near_duplicates, ``mark`` of the text, and ``grp``: the component, which unlike its name is unique; null without words."""
     bounded_batches(docs.sparkSession)
-    texts = id_text(docs, id_col, text_col)
+    texts = id_text(docs, id_col, text_col).withColumn("mark", _mark(F.col("text")))
     sets = stage(texts.mapInArrow(_sets, _SET), "shingle-sets")
     usable = sets.filter("digest is not null and doc_id is not null")
-    classes = usable.groupBy("digest").agg(F.min("doc_id").alias("rep"))
-    reps = usable.join(classes, "digest").filter("doc_id = rep").dropDuplicates(["rep"]).select("rep", F.col("n_shingles").alias("size"), "bands", "signature")
-    reps = stage(reps, "shingle-reps")
+    # A class goes by a number of its own: one id may be the smallest of several classes.
+    classes = stage(usable.groupBy("digest").agg(F.min(F.struct("doc_id", "mark")).alias("first")).select("digest", "first.doc_id", "first.mark", F.monotonically_increasing_id().alias("rep")), "shingle-classes")
+    named = classes.select("digest", F.col("doc_id").alias("first_id"), F.col("mark").alias("first_mark"), "rep")
+    reps = usable.join(named, "digest").filter("doc_id = first_id and mark = first_mark").dropDuplicates(["rep"])
+    reps = stage(reps.select("rep", "first_id", "first_mark", F.col("n_shingles").alias("size"), "bands", "signature"), "shingle-reps")
 
     keys = reps.select("rep", "size", F.explode("bands").alias("band"))
     shared = keys.groupBy("band").agg(F.count("*").alias("n"), F.min(F.struct("rep", "size")).alias("hub")).filter("n > 1")
     bands = stage(keys.join(shared, "band").select("band", "rep", "size", "n", F.col("hub.rep").alias("hub"), F.col("hub.size").alias("hub_size")), "bands")
     members = bands.select("rep").distinct()
-    wanted = stage(texts.join(members, texts["doc_id"] == members["rep"], "left_semi").dropDuplicates(["doc_id"]), "shingle-texts")
+    first = reps.join(members, "rep", "left_semi").select(F.col("first_id").alias("doc_id"), F.col("first_mark").alias("mark"), "rep")
+    wanted = stage(texts.join(first, ["doc_id", "mark"]).dropDuplicates(["doc_id", "mark"]).select("rep", "text"), "shingle-texts")
     signatures = stage(reps.join(members, "rep", "left_semi").select("rep", "signature"), "signatures")
 
     def confirmed(likely: DataFrame) -> DataFrame:
-        text = lambda name, key: wanted.select(F.col("doc_id").alias(key), F.col("text").alias(name))
+        text = lambda name, key: wanted.select(F.col("rep").alias(key), F.col("text").alias(name))
         both = likely.join(text("tb", "b"), "b").join(text("ta", "a"), "a").sortWithinPartitions("a")
         return stage(both.mapInArrow(_confirmed(percent), "a long, b long"), "links")
 
@@ -302,17 +316,25 @@ def near_duplicates(docs: DataFrame, percent: int = 75, *, miss: float = MISS, i
         comp = connected_components(links)
     unstage(bands, likely)
 
-    out = sets.join(classes, "digest", "left")
+    linked = comp.join(named.select("rep", "first_id"), comp["id"] == F.col("rep")).select("id", "component", "first_id")
+    least = linked.groupBy("component").agg(F.min("first_id").alias("least"))
+    comp = linked.select("id", "component").join(least, "component")
+    out = sets.join(named, "digest", "left")
     out = out.join(comp, out["rep"] == comp["id"], "left")
-    comp_id = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "rep", "doc_id"))
-    return out.select("doc_id", "n_shingles", comp_id.alias("component_id"), F.coalesce(F.col("doc_id") == comp_id, F.lit(True)).alias("kept"))
+    comp_id = F.when(F.col("doc_id").isNotNull(), F.coalesce("least", "first_id", "doc_id"))
+    return out.select("doc_id", "mark", "n_shingles", F.coalesce("component", "rep").alias("grp"), comp_id.alias("component_id"), F.coalesce(F.col("doc_id") == comp_id, F.lit(True)).alias("kept"))
 
 
 def without_near_duplicates(docs: DataFrame, percent: int = 75) -> DataFrame:
-    """The rows of one document (the smallest id) of each component, with all columns of ``docs``; a repeated row stays once."""
-    kept = near_duplicates(docs, percent).filter("kept and doc_id is not null").select(F.col("doc_id").alias("_kept_id")).distinct()
-    named = docs.filter("doc_id is not null")
-    out = named.join(kept, F.col("doc_id") == F.col("_kept_id"), "left_semi")
-    if not named.groupBy("doc_id").count().filter("count > 1").isEmpty():  # reads ids only; texts are sorted only where ids repeat
-        out = out.dropDuplicates(["doc_id"])
-    return out.unionByName(docs.filter("doc_id is null"))
+    """The rows of one document (the smallest id) of each component, with all columns of ``docs``.
+
+    Of the rows of that id whose texts are equal or lie in the same component one stays; its other texts are not touched.
+    """
+    found = _grouped(docs, percent).filter("kept and doc_id is not null")
+    bare = F.when(F.col("grp").isNull(), F.col("mark")).alias("bare")  # texts without words link with nothing
+    kept = found.groupBy("doc_id", "grp", bare).agg(F.min("mark").alias("_kept_mark")).select(F.col("doc_id").alias("_kept_id"), "_kept_mark")
+    named = docs.filter("doc_id is not null").withColumn("_text_mark", _mark(F.col("text")))
+    out = named.join(kept, (F.col("doc_id") == F.col("_kept_id")) & (F.col("_text_mark") == F.col("_kept_mark")), "left_semi")
+    if not docs.filter("doc_id is not null").groupBy("doc_id").count().filter("count > 1").isEmpty():  # reads ids only; texts are sorted only where ids repeat
+        out = out.dropDuplicates(["doc_id", "_text_mark"])
+    return out.drop("_text_mark").unionByName(docs.filter("doc_id is null"))

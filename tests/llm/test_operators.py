@@ -101,6 +101,16 @@ def test_near_duplicates_edges(spark):
     assert sorted(r["doc_id"] for r in kept.collect()) == [1, 5] and kept.columns == DOCS.replace(" long", "").replace(" string", "").split(", ")
 
 
+def test_texts_that_share_an_id(spark):
+    words = lambda c, *other: " ".join([f"{c}{i}" for i in range(60)] + list(other))
+    rows = [(5, words("a")), (5, words("b")), (5, words("b", "more")), (9, words("b", "end")), (8, words("a", "end")), (3, words("c")), (5, words("c")), (5, ""), (5, None), (5, " ")]
+    for order in (rows, rows[::-1]):
+        got = collections.Counter((r["doc_id"], r["component_id"], r["kept"]) for r in neardup.near_duplicates(docs_of(spark, order)).collect())
+        assert got == {(5, 5, True): 6, (9, 5, False): 1, (8, 5, False): 1, (3, 3, True): 1, (5, 3, False): 1}
+        kept = collections.Counter((r["doc_id"], (r["text"] or "")[:2]) for r in neardup.without_near_duplicates(docs_of(spark, order)).collect())
+        assert kept == {(5, "a0"): 1, (5, "b0"): 1, (3, "c0"): 1, (5, ""): 1, (5, " "): 1}
+
+
 def test_bayes_bounds_rise_and_spare_similar_pairs():
     least = neardup.least_matches(0.75, 1e-6)
     assert list(least) == sorted(least)
