@@ -3,7 +3,7 @@
 Documents become pieces of at most ``capacity`` tokens; only longer documents are cut. Full pieces are sequences of
 their own. In each round every partition packs its items best fit (longest first, into the fullest open sequence that
 still has room) and emits those that are nearly full; underfull ones, with the pieces they hold, are the items of the
-next round, in fewer partitions, until one partition has packed the rest. A sequence holds at most ``capacity`` pieces,
+next round, in fewer partitions, until no two of them fit together; those too full for the smallest one are emitted before. A sequence holds at most ``capacity`` pieces,
 so an item is bounded, and what a round passes on shrinks to a few sequences per partition. A partition packs in
 windows of a bounded number of items.
 
@@ -136,19 +136,22 @@ def pack(parts: DataFrame, capacity: int = 2048, *, nearly_full: float = 0.995,
     member = F.struct("doc_id", "piece", "start", "length", "ids_crc32", F.lit(0).cast("long").alias("offset"))
     out = [parts.filter(F.col("length") == capacity).select("doc_id", "piece", "start", "length", "ids_crc32", (F.lit(127 << 56) + F.monotonically_increasing_id()).alias("sequence_id"), F.lit(0).cast("long").alias("offset"))]
     items = parts.filter(F.col("length") < capacity).select(F.col("length").alias("used"), F.array(member).alias("members"))
-    level, n, before = 0, items.rdd.getNumPartitions(), None
+    level, n, came = 0, items.rdd.getNumPartitions(), None
     while True:
         level_rows = stage(items.mapInArrow(_packer(capacity, level, emit_at), ITEM), f"pack-{level}")
-        left = level_rows.filter("not done")
-        count = left.count()
-        # The last partition has packed everything, or rounds have stopped to help: what is left doesn't fit together.
-        last = n == 1 or not count or (before is not None and count > 0.9 * before)
-        done = level_rows if last else level_rows.filter("done")
+        low = [r["used"] for r in level_rows.filter("not done").orderBy("used").limit(2).select("used").collect()]
+        last = len(low) < 2 or sum(low) > capacity  # no two fit together
+        if not last:  # what has no room for the smallest one has room for nothing
+            more = ~F.col("done") & (F.col("used") <= capacity - low[0])
+            rows, count = level_rows.agg(F.count("*"), F.count_if(more)).first()
+            # Only where a task can't hold all that is left: a round without a merge in as few partitions as there may be.
+            last = n > 1 and rows == came and n == -(-count // LAST_ITEMS)
+        done = level_rows if last else level_rows.filter(~more)
         out.append(done.select("seq", F.explode("members").alias("m")).select("m.doc_id", "m.piece", "m.start", "m.length", "m.ids_crc32", F.col("seq").alias("sequence_id"), "m.offset"))
         if last:
             break
-        level, n, before = level + 1, max(-(-count // LAST_ITEMS), -(-n // fan_in)), count
-        items = left.select("used", "members").repartition(n)
+        level, n, came = level + 1, max(-(-count // LAST_ITEMS), -(-n // fan_in)), count
+        items = level_rows.filter(more).select("used", "members").repartition(n)
     result = out[0]
     for more in out[1:]:
         result = result.unionByName(more)
