@@ -8,7 +8,8 @@ queries, so no task holds more than one query block and one batch of candidates.
 
 Defined cases: a vector that is null, empty or holds null or non-finite components takes no part; vectors of different
 lengths count as zero beyond their end; ties go to the smaller id; rows with the query's own id are never its partners,
-a candidate's row that is repeated appears as often as it occurs, a query's id asks once; fewer candidates than k give fewer rows; no rows give none.
+a candidate's row that is repeated appears as often as it occurs; a query's id asks once with each of its different
+vectors, and its k best are those of all of them together, so a candidate may appear once for each; fewer candidates than k give fewer rows; no rows give none.
 A null id takes no part. Scores are 64-bit sums.
 """
 
@@ -135,7 +136,7 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 5, *, id_col: str = "ve
     blocks, groups = max(1, -(-n_q // query_block)), max(1, -(-n // candidate_group))
     deal = lambda seed, m: F.pmod(F.xxhash64("vec_id", F.lit(seed)), F.lit(m))
     # A group is one block of queries and one share of the candidates: block * groups + share.
-    queries = rows.filter(is_query).dropDuplicates(["vec_id"]).select(F.explode(F.sequence(F.lit(0), F.lit(groups - 1))).alias("g"), deal(1, blocks).alias("b"), "vec_id", "w", F.lit(False).alias("cand"))
+    queries = rows.filter(is_query).dropDuplicates(["vec_id", "w"]).select(F.explode(F.sequence(F.lit(0), F.lit(groups - 1))).alias("g"), deal(1, blocks).alias("b"), "vec_id", "w", F.lit(False).alias("cand"))
     candidates = rows.select(deal(2, groups).alias("g"), F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("b"), "vec_id", "w", F.lit(True).alias("cand"))
     both = queries.unionByName(candidates).select((F.col("b") * groups + F.col("g")).cast("long").alias("grp"), "cand", "vec_id", "w")
     found = both.repartition(blocks * groups, "grp").sortWithinPartitions("grp", "cand").mapInArrow(_search(k), OUT)

@@ -406,6 +406,13 @@ def test_top_k_equals_brute_force(spark):
     assert topk.top_k(df.filter("vec_id in (0, 1)"), F.col("vec_id") % 50 == 0).count() == 1
 
 
+def test_top_k_of_an_id_with_several_vectors(spark):
+    v = [(50, [1.0, 0.0]), (50, [0.0, 1.0]), (50, [0.0, 1.0]), (1, [3.0, 0.0]), (2, [0.0, 4.0]), (3, [2.0, 0.5])]
+    df = spark.createDataFrame(v, "vec_id long, embedding array<float>")
+    got = sorted(tuple(r) for r in topk.top_k(df, F.col("vec_id") % 50 == 0, 3).collect())
+    assert got == [(50, 1, 2, 65536 * 4), (50, 2, 1, 65536 * 3), (50, 3, 3, 65536 * 2)]
+
+
 # 7
 
 
