@@ -21,6 +21,7 @@ count as vectors of their own; no rows give no rows.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from math import isqrt
 
 import numpy as np
 import pyarrow as pa
@@ -32,6 +33,8 @@ from .graph import connected_components
 
 #: Slack for rounding in the distances that decide on copies; the links themselves are decided by the cosine.
 SLACK = 1e-6
+#: Cells that a table of less than so many blocks is cut into; each further one may copy every vector once more.
+FEW_PIVOTS = 8
 
 
 def _unit(x: np.ndarray) -> np.ndarray:
@@ -186,7 +189,7 @@ def near_vectors(vectors: DataFrame, at_least: float = 0.9, *, id_col: str = "ve
 def _join_one(classes: DataFrame, dim: int, n: int, at_least: float, block_rows: int, max_pivots: int) -> DataFrame:
     """``rep, links, low`` among vectors of one length."""
     r = float(np.sqrt(max(0.0, 2 - 2 * at_least)))
-    wanted = int(min(max_pivots, max(1, n // block_rows)))  # a bound on what goes to the driver and into each task
+    wanted = int(min(max_pivots, max(n // block_rows, min(FEW_PIVOTS, isqrt(n)))))  # a bound on what goes to the driver and into each task
     pivots = _unit(np.array([x["v"] for x in classes.orderBy(F.xxhash64("rep", F.lit(7)), "rep").limit(wanted).select("v").collect()], dtype=np.float64))
     homes = stage(classes.select("rep", "mult", "v").mapInArrow(_homes(pivots), "rep long, mult long, v array<float>, home int, far double" if dict(classes.dtypes)["v"] == "array<float>" else "rep long, mult long, v array<double>, home int, far double"), "vec-home")
     radius, count = np.full(len(pivots), -np.inf), np.zeros(len(pivots), np.int64)

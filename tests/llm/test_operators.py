@@ -434,6 +434,15 @@ def test_range_join_equals_brute_force(spark):
     assert rangejoin.near_vectors(df.limit(0)).collect() == []
 
 
+def test_a_small_table_has_several_cells(spark, sf_dir, monkeypatch):
+    cells, copies = [], rangejoin._copies
+    monkeypatch.setattr(rangejoin, "_copies", lambda pivots, *a: cells.append(len(pivots)) or copies(pivots, *a))
+    df = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    many = sorted(map(tuple, rangejoin.near_vectors(df, 0.9).collect()))
+    one = sorted(map(tuple, rangejoin.near_vectors(df, 0.9, max_pivots=1).collect()))
+    assert cells == [8, 1] and many == one
+
+
 # 9
 
 
