@@ -5,27 +5,31 @@ from __future__ import annotations
 import atexit
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Rows of a batch that goes to a Python worker. Texts may have 100 kB and more, so the default of 10,000 is too many.
-BATCH_ROWS = 512
+#: Rows and bytes of a batch that goes to a Python worker: vectors are bounded by the first, texts by the second.
+BATCH_ROWS, BATCH_BYTES = 4096, 8 << 20
 
 
-def bounded_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
-    """Lower the session's Arrow batch size to ``rows``; a smaller setting stays."""
-    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if not 0 < int(spark.conf.get(key)) <= rows:
-        spark.conf.set(key, str(rows))
+def bounded_batches(spark: SparkSession) -> None:
+    """Bound the session's Arrow batches, the same for all operators; smaller settings stay."""
+    rows, size = "spark.sql.execution.arrow.maxRecordsPerBatch", "spark.sql.execution.arrow.maxBytesPerBatch"
+    if not 0 < int(spark.conf.get(rows)) <= BATCH_ROWS:
+        spark.conf.set(rows, str(BATCH_ROWS))
+    if not 0 < spark.sparkContext._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get(size)) <= BATCH_BYTES:
+        spark.conf.set(size, str(BATCH_BYTES))
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that the driver and all executors share: spark.checkpoint.dir, or a new local one where that is unset (tests)."""
+    """The folder that the driver and all executors share: spark.checkpoint.dir; where that is unset, a new one, in local mode only (tests)."""
     top = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.sparkContext._jsc.sc().getCheckpointDir().getOrElse(None)
     if not top:
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         top = "file://" + tempfile.mkdtemp(prefix="changeloom-")
         spark.sparkContext.setCheckpointDir(top)
     return top.rstrip("/")
@@ -37,14 +41,14 @@ def delete_path(spark: SparkSession, path: str) -> None:
     p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
-def stage(df: DataFrame, label: str) -> DataFrame:
-    """Write ``df`` as Parquet into the shared folder and read it back.
+def stage(df: DataFrame, label: str, level: int = 3) -> DataFrame:
+    """Write ``df`` as Parquet (zstd of ``level``) into the shared folder and read it back.
 
     Cuts lineage by a written table, so a lost executor costs only the tasks that ran on it. The table goes when the session ends.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/staged/{label}-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
+    df.write.option("compression", "zstd").option("parquet.compression.codec.zstd.level", str(level)).parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._staged_path = path
     _later(spark, path)
@@ -92,6 +96,29 @@ def runs(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[tuple[object,
             yield k[a], batch.slice(a, b - a)
 
 
+def meetings(batches: Iterator[pa.RecordBatch], key: str, read: Callable[[list[pa.RecordBatch]], object]) -> Iterator[tuple[object, object | None]]:
+    """Blocks of a partition sorted by ``key``, a block's own rows (``probe`` false) first: each block alone, then with each slice of its probes.
+
+    A task holds one block and one batch.
+    """
+    block, held, home = None, [], None
+    for k, part in runs(batches, key):
+        if k != block:
+            if home is None and held:
+                yield read(held), None
+            block, held, home = k, [], None
+        n = part.num_rows - part.column("probe").true_count
+        if n:
+            held.append(part.slice(0, n))
+        if n < part.num_rows and held:
+            if home is None:
+                home = read(held)
+                yield home, None
+            yield home, read([part.slice(n)])
+    if home is None and held:
+        yield read(held), None
+
+
 def list_matrix(column: pa.Array, dim: int) -> "object":
     """A list column whose rows all have ``dim`` numbers, as a float64 matrix."""
     import numpy as np

@@ -1,17 +1,25 @@
 """Operator 1, MinHash near-dedup with sequential Bayesian verification.
 
-1. One pass over the texts gives each document its set of distinct word shingles (64-bit hashes), a digest of the set, the
-   keys of its signature bands and a short signature of 8 bits per minimum. Documents of one digest are one class.
+1. One pass over the texts gives each document its set of distinct word shingles (64-bit hashes), a digest of the set and
+   a short signature of 8 bits per minimum; a band is 5 bytes of it. Documents of one digest are one class (two sets have
+   the same 128-bit digest of their sorted hashes by chance only with a probability of 2^-64 per pair and less).
 2. Classes that share a band are candidates. A band is never expanded into all its pairs. First each member meets the
-   band's smallest id; what links is one component, so a band that holds one group of near copies is settled. Then only
+   band's smallest class; what links is one component, so a band that holds one group of near copies is settled. Then only
    bands with members of different components are left: their members, with their signatures, are dealt out by band (large
-   bands in blocks of a bounded size that meet each other), compared where they lie, and only likely pairs come out. Both
-   steps skip pairs whose set sizes alone rule the threshold out. Nothing is capped.
+   bands in blocks of a bounded size that meet each other) and compared where they lie. Two members are compared in the
+   first band that they share. What comes out is the members that have a likely partner, one row each.
 3. Candidates are verified in sequence: signatures are compared in batches of minima, and after each batch a pair goes if
    the posterior probability that its similarity reaches the threshold (uniform prior, binomial matches) is below the
-   chosen miss probability. What survives is verified on the full shingle sets of the two whole texts.
+   chosen miss probability. Survivors are verified on their full shingle sets: members that have one get their sets, meet
+   once more in blocks of bounded bytes, and a block unites what links, so that it gives at most one link per member.
+   Pairs that fail never leave their block, and a pair within one component needs no check. Each link given is confirmed
+   on the shingles of the two whole texts.
 4. Links are united into components, and classes give their component to their rows.
 
+Within a band of one component the work is linear in its members. Members of different components that share a band are
+compared in pairs where they lie: a group of texts that are just below the threshold of each other costs the square of
+its size within a band in comparisons of signature bytes, but never in rows, shuffle or memory.
+
 Defined cases: a null or empty text, or one without words, has an empty set and links with nothing; a text with fewer
 words than a shingle has its whole word sequence as its one shingle; a row with a null id keeps its row, has a null
 component and is kept; rows that repeat an id each have the component of their own text; a component is named by the
@@ -23,7 +31,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
-from functools import lru_cache
+from functools import cached_property, lru_cache
 from math import comb
 
 import numpy as np
@@ -31,7 +39,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded_batches, id_text, runs, stage, unstage
+from .common import bounded_batches, id_text, meetings, stage, unstage
+from .toxicity import whole_rows
 from .graph import connected_components
 
 SHINGLE = 5
@@ -44,7 +53,10 @@ MISS = 1e-6
 #: Members of a band that one task holds at a time.
 BLOCK = 2048
 
-_SET = "doc_id long, mark long, n_shingles long, digest binary, bands array<long>, signature binary"
+#: Hashes of the sets in a block whose members are verified.
+BLOCK_HASHES = 4 << 20
+
+_SET = "doc_id long, mark long, n_shingles long, digest binary, signature binary"
 _SEED = np.random.Generator(np.random.PCG64(20240607))
 _A = _SEED.integers(1, 2**63, BANDS * ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _B = _SEED.integers(0, 2**63, BANDS * ROWS, dtype=np.uint64)
@@ -106,23 +118,22 @@ def _minima(s: np.ndarray) -> np.ndarray:
 
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    salt = np.arange(1, BANDS + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-    c = _A[:ROWS]
     for b in batches:
         if not b.num_rows:
             continue
-        n, digest, bands, signature = [], [], [], []
+        n, digest, signature = [], [], []
         for text in b.column("text").to_pylist():
             s = _set_hashes(text)
             n.append(len(s))
-            if len(s):
-                m = _minima(s)
-                digest.append(hashlib.md5(s.tobytes(), usedforsecurity=False).digest())
-                bands.append(_mixed((_mixed(m).reshape(BANDS, ROWS) * c).sum(axis=1) + salt).view(np.int64))
-                signature.append(_mixed(m).astype(np.uint8).tobytes())
-            else:
-                digest.append(None), bands.append(None), signature.append(None)
-        yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("mark"), pa.array(n, pa.int64()), pa.array(digest, pa.binary()), pa.array(bands, pa.list_(pa.int64())), pa.array(signature, pa.binary())], ["doc_id", "mark", "n_shingles", "digest", "bands", "signature"])
+            digest.append(hashlib.md5(s.tobytes(), usedforsecurity=False).digest() if len(s) else None)
+            signature.append(_mixed(_minima(s)).astype(np.uint8).tobytes() if len(s) else None)
+        yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("mark"), pa.array(n, pa.int64()), pa.array(digest, pa.binary()), pa.array(signature, pa.binary())], ["doc_id", "mark", "n_shingles", "digest", "signature"])
+
+
+def _hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        sets = [_set_hashes(text).tobytes() for text in b.column("text").to_pylist()]
+        yield pa.RecordBatch.from_arrays([b.column("rep"), pa.array(sets, pa.binary())], ["rep", "hashes"])
 
 
 @lru_cache
@@ -171,70 +182,111 @@ def _likely(at_least: float, miss: float):
     return run
 
 
-def _met(percent: int, miss: float):
-    """Compares the members of a band (a block of it, and those that come to meet it) and gives the likely pairs only.
-
-    A partition is sorted by group, the group's own members first; a task holds one block and one batch.
-    """
+class _Members:
+    """Members of a block, and the component that each lies in as far as the block knows."""
+
+    def __init__(self, parts: list[pa.RecordBatch], with_sets: bool):
+        t = pa.Table.from_batches(parts)
+        self.band, self.at, self.rep, self.comp, self.size = (t[c].to_numpy() for c in ("band", "at", "rep", "comp", "size"))
+        self.signature = np.frombuffer(b"".join(t["signature"].to_pylist()), np.uint8).reshape(len(t), -1)
+        self.sets = [np.frombuffer(x, np.uint64) for x in t["hashes"].to_pylist()] if with_sets else None
+        self.root, self.seen = self.comp.copy(), False
+
+    @cached_property
+    def ranks(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The block's distinct hashes, the rank of each hash of each set, and where the sets begin."""
+        distinct, rank = np.unique(np.concatenate(self.sets), return_inverse=True)
+        return distinct, rank, np.cumsum([0, *map(len, self.sets)])
+
+
+def _candidates(one: _Members, two: _Members, percent: int, least: tuple[int, ...]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Likely pairs of different components (row of one, row of two), in the order of one's rows; each in the first band it shares."""
+    for a in range(0, len(one.rep), 256):
+        some = slice(a, a + 256)
+        ok = one.root[some, None] != two.root[None, :]
+        if one is two:  # each pair once
+            ok &= np.arange(a, a + len(ok))[:, None] < np.arange(len(two.rep))[None, :]
+        x, y = one.size[some, None], two.size[None, :]
+        ok &= 100 * np.minimum(x, y) >= percent * np.maximum(x, y)
+        i, j = np.nonzero(ok)
+        i += a
+        for c in range(0, len(i), 100_000):
+            x, y = i[c : c + 100_000], j[c : c + 100_000]
+            alive = _alive(one.signature, two.signature, x, y, least)
+            x, y = x[alive], y[alive]
+            shared = (one.signature[x] == two.signature[y]).reshape(-1, BANDS, ROWS).all(axis=2)
+            first = shared.argmax(axis=1) == one.at[x]
+            if first.any():
+                yield x[first], y[first]
+
+
+def _likely_members(percent: int, miss: float):
+    """The members that have a likely partner; a partition is sorted by group, the group's own members first."""
     least = least_matches(percent / 100, miss)
 
-    def read(part: pa.RecordBatch) -> tuple[np.ndarray, ...]:
-        return (*(part.column(c).to_numpy() for c in ("rep", "comp", "size")), _signatures(part.column("signature")))
-
-    def pairs(one: tuple[np.ndarray, ...], two: tuple[np.ndarray, ...], own: bool) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        for a in range(0, len(one[0]), 256):
-            rep, comp, size, sig = (x[a : a + 256] for x in one)
-            ok = comp[:, None] != two[1][None, :]
-            if own:  # each pair once
-                ok &= np.arange(a, a + len(rep))[:, None] < np.arange(len(two[0]))[None, :]
-            ok &= 100 * np.minimum(size[:, None], two[2][None, :]) >= percent * np.maximum(size[:, None], two[2][None, :])
-            i, j = np.nonzero(ok)
-            for c in range(0, len(i), 100_000):
-                x, y = i[c : c + 100_000], j[c : c + 100_000]
-                alive = _alive(sig, two[3], x, y, least)
-                if len(alive):
-                    yield rep[x[alive]], two[0][y[alive]]
-
-    def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        group, held, home = None, [], None
-
-        def own() -> tuple[np.ndarray, ...]:
-            return tuple(np.concatenate(x) for x in zip(*held)) if len(held) > 1 else held[0]
-
-        for key, part in runs(batches, "grp"):
-            if key != group:
-                if home is None and held:
-                    home = own()
-                    yield from pairs(home, home, True)
-                group, held, home = key, [], None
-            probe = part.column("probe").to_numpy(zero_copy_only=False)
-            n = int((~probe).sum())
-            if n:
-                held.append(read(part.slice(0, n)))
-            if n < part.num_rows and held:
-                if home is None:
-                    home = own()
-                    yield from pairs(home, home, True)
-                yield from pairs(read(part.slice(n)), home, False)
-        if home is None and held:
-            home = own()
-            yield from pairs(home, home, True)
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        left, right, n = [], [], 0
+        for home, probes in meetings(batches, "grp", lambda parts: _Members(parts, False)):
+            sides = (home, home) if probes is None else (probes, home)
+            marked = [np.zeros(len(x.rep), bool) for x in sides]
+            for x, y in _candidates(*sides, percent, least):
+                marked[0][x] = marked[1][y] = True
+            for side, mark in zip(sides, marked):
+                if mark.any():
+                    yield pa.RecordBatch.from_arrays([pa.array(c[mark]) for c in (side.band, side.at, side.rep, side.comp)], ["band", "at", "rep", "comp"])
+
+    return run
+
 
-        def batch() -> pa.RecordBatch:
-            x, y = np.concatenate(left), np.concatenate(right)
-            return pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y))], ["a", "b"])
+def _links(percent: int, miss: float):
+    """Verifies the likely pairs of a block on their whole sets, unites what links, and gives a link for each union."""
+    least = least_matches(percent / 100, miss)
 
-        for x, y in compared(batches):
-            left.append(x), right.append(y)
-            n += len(x)
-            if n >= 100_000:
-                yield batch()
-                left, right, n = [], [], 0
-        if n:
-            yield batch()
+    def verified(one: _Members, i: int, two: _Members, js: np.ndarray) -> np.ndarray:
+        distinct, rank, begin = two.ranks
+        if one is two:
+            own = rank[begin[i] : begin[i + 1]]
+        else:
+            at = np.minimum(np.searchsorted(distinct, one.sets[i]), len(distinct) - 1)
+            own = at[distinct[at] == one.sets[i]]
+        mark = np.zeros(len(distinct), bool)
+        mark[own] = True
+        both = np.array([np.count_nonzero(mark[rank[begin[j] : begin[j + 1]]]) for j in js])
+        return js[100 * both >= percent * (one.size[i] + two.size[js] - both)]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        united: dict[int, int] = {}
+
+        def root(c: int) -> int:
+            while c in united:
+                c = united[c]
+            return c
+
+        def unite(one: _Members, two: _Members) -> Iterator[tuple[int, int]]:
+            for x, y in _candidates(one, two, percent, least):
+                cuts = [0, *(np.nonzero(np.diff(x))[0] + 1).tolist(), len(x)]
+                for a, b in zip(cuts, cuts[1:]):
+                    i, js = int(x[a]), y[a:b]
+                    js = js[two.root[js] != one.root[i]]
+                    if not len(js):
+                        continue
+                    js = verified(one, i, two, js)
+                    for far, j in {int(two.root[j]): int(j) for j in js}.items():
+                        yield one.rep[i], two.rep[j]
+                        low, high = sorted((int(one.root[i]), far))
+                        united[high] = low
+                        for side in (one, two):
+                            side.root[side.root == high] = low
+
+        for home, probes in meetings(batches, "grp", lambda parts: _Members(parts, True)):
+            if not home.seen:
+                united.clear()
+                home.seen = True
+            if probes is not None:
+                probes.root = np.array([root(c) for c in probes.root.tolist()], np.int64)
+            found = list(unite(home, home) if probes is None else unite(probes, home))
+            if found:
+                a, b = np.array(found, np.int64).T
+                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"])
 
     return run
 
@@ -273,56 +325,62 @@ def _grouped(docs: DataFrame, percent: int, miss: float = MISS, id_col: str = "d
     bounded_batches(docs.sparkSession)
     texts = id_text(docs, id_col, text_col).withColumn("mark", _mark(F.col("text")))
     sets = stage(texts.mapInArrow(_sets, _SET), "shingle-sets")
-    usable = sets.filter("digest is not null and doc_id is not null")
     # A class goes by a number of its own: one id may be the smallest of several classes.
-    classes = stage(usable.groupBy("digest").agg(F.min(F.struct("doc_id", "mark")).alias("first")).select("digest", "first.doc_id", "first.mark", F.monotonically_increasing_id().alias("rep")), "shingle-classes")
-    named = classes.select("digest", F.col("doc_id").alias("first_id"), F.col("mark").alias("first_mark"), "rep")
-    reps = usable.join(named, "digest").filter("doc_id = first_id and mark = first_mark").dropDuplicates(["rep"])
-    reps = stage(reps.select("rep", "first_id", "first_mark", F.col("n_shingles").alias("size"), "bands", "signature"), "shingle-reps")
-
-    keys = reps.select("rep", "size", F.explode("bands").alias("band"))
-    shared = keys.groupBy("band").agg(F.count("*").alias("n"), F.min(F.struct("rep", "size")).alias("hub")).filter("n > 1")
-    bands = stage(keys.join(shared, "band").select("band", "rep", "size", "n", F.col("hub.rep").alias("hub"), F.col("hub.size").alias("hub_size")), "bands")
-    members = bands.select("rep").distinct()
-    first = reps.join(members, "rep", "left_semi").select(F.col("first_id").alias("doc_id"), F.col("first_mark").alias("mark"), "rep")
+    classes = sets.filter("digest is not null and doc_id is not null").groupBy("digest").agg(
+        F.min(F.struct("doc_id", "mark")).alias("first"), F.any_value("n_shingles").alias("size"), F.any_value("signature").alias("signature")
+    )
+    classes = stage(classes.select(F.monotonically_increasing_id().alias("rep"), "digest", F.col("first.doc_id").alias("first_id"), F.col("first.mark").alias("first_mark"), "size", "signature"), "shingle-classes")
+
+    keys = classes.select("rep", F.posexplode(F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda i: F.xxhash64(i, F.substring("signature", i * ROWS + 1, F.lit(ROWS))))).alias("at", "band"))
+    shared = keys.groupBy("band").agg(F.count("*").alias("n"), F.min("rep").alias("hub")).filter("n > 1")
+    bands = stage(keys.join(shared, "band").select("band", "at", "rep", "n", "hub"), "bands")
+    members = stage(classes.join(bands.select("rep").distinct(), "rep", "left_semi").select("rep", "first_id", "first_mark", "size", "signature"), "band-members")
+    first = members.select(F.col("first_id").alias("doc_id"), F.col("first_mark").alias("mark"), "rep")
     wanted = stage(texts.join(first, ["doc_id", "mark"]).dropDuplicates(["doc_id", "mark"]).select("rep", "text"), "shingle-texts")
-    signatures = stage(reps.join(members, "rep", "left_semi").select("rep", "signature"), "signatures")
 
     def confirmed(likely: DataFrame) -> DataFrame:
         text = lambda name, key: wanted.select(F.col("rep").alias(key), F.col("text").alias(name))
         both = likely.join(text("tb", "b"), "b").join(text("ta", "a"), "a").sortWithinPartitions("a")
         return stage(both.mapInArrow(_confirmed(percent), "a long, b long"), "links")
 
-    # Each member of a band meets the band's smallest id.
-    fits = (100 * F.least("size", "hub_size") >= percent * F.greatest("size", "hub_size")) & (F.col("rep") != F.col("hub"))
-    pairs = bands.filter(fits).select(F.col("hub").alias("a"), F.col("rep").alias("b")).distinct()
-    sig = lambda name, key: signatures.select(F.col("rep").alias(key), F.col("signature").alias(name))
-    links = confirmed(stage(pairs.join(sig("sa", "a"), "a").join(sig("sb", "b"), "b").mapInArrow(_likely(percent / 100, miss), "a long, b long"), "likely"))
+    # Each member of a band meets the band's smallest class.
+    side = lambda end: members.select(F.col("rep").alias(end), F.col("size").alias(f"n{end}"), F.col("signature").alias(f"s{end}"))
+    pairs = bands.filter("rep <> hub").select(F.col("hub").alias("a"), F.col("rep").alias("b")).distinct()
+    pairs = pairs.join(side("a"), "a").join(side("b"), "b").filter(100 * F.least("na", "nb") >= percent * F.greatest("na", "nb"))
+    links = confirmed(stage(pairs.mapInArrow(_likely(percent / 100, miss), "a long, b long"), "likely"))
     comp = connected_components(links)
 
     # Members of different components that have not met, band by band.
-    labelled = bands.filter("rep <> hub").join(comp, bands["rep"] == comp["id"], "left").select("band", "rep", "size", "n", F.coalesce("component", "rep").alias("comp"))
-    mixed = labelled.groupBy("band").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo < hi").select("band")
-    left = labelled.join(mixed, "band").join(signatures, "rep")
-    left = left.withColumn("block", F.pmod(F.xxhash64("rep"), F.ceil(F.col("n") / BLOCK)))
-    group = lambda block: F.xxhash64("band", block).alias("grp")
-    home = left.select(group(F.col("block")), F.lit(False).alias("probe"), "rep", "comp", "size", "signature")
-    probes = left.filter("block > 0").withColumn("to", F.explode(F.sequence(F.lit(0).cast("long"), F.col("block") - 1)))
-    probes = probes.select(group(F.col("to")), F.lit(True).alias("probe"), "rep", "comp", "size", "signature")
-    met = home.union(probes).repartition("grp").sortWithinPartitions("grp", "probe")
-    likely = stage(met.mapInArrow(_met(percent, miss), "a long, b long").distinct(), "likely")
+    labelled = bands.filter("rep <> hub").join(comp, bands["rep"] == comp["id"], "left").select("band", "at", "rep", F.coalesce("component", "rep").alias("comp"))
+    mixed = labelled.groupBy("band").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("n")).filter("lo < hi")
+    left = labelled.join(mixed.select("band", F.ceil(F.col("n") / BLOCK).alias("blocks")), "band").join(members.select("rep", "size", "signature"), "rep")
+    likely = stage(_dealt(left).mapInArrow(_likely_members(percent, miss), "band long, at int, rep long, comp long").distinct(), "likely-members")
     if not likely.isEmpty():
-        links = stage(links.union(confirmed(likely)), "links")
+        likely = likely.join(members.select("rep", "size", "signature"), "rep")
+        blocks = likely.groupBy("band").agg(F.ceil(F.greatest(F.count("*") / BLOCK, F.sum("size") / BLOCK_HASHES)).alias("blocks"))
+        hashes = stage(wanted.join(likely.select("rep").distinct(), "rep", "left_semi").mapInArrow(_hashed, "rep long, hashes binary"), "shingle-hashes")
+        found = _dealt(likely.join(blocks, "band").join(hashes, "rep"), "hashes").mapInArrow(_links(percent, miss), "a long, b long").distinct()
+        links = stage(links.union(confirmed(stage(found, "found"))), "links")
         comp = connected_components(links)
-    unstage(bands, likely)
+    unstage(bands, members, wanted)
 
-    linked = comp.join(named.select("rep", "first_id"), comp["id"] == F.col("rep")).select("id", "component", "first_id")
+    linked = comp.join(classes.select("rep", "first_id"), comp["id"] == F.col("rep")).select("id", "component", "first_id")
     least = linked.groupBy("component").agg(F.min("first_id").alias("least"))
     comp = linked.select("id", "component").join(least, "component")
-    out = sets.join(named, "digest", "left")
-    out = out.join(comp, out["rep"] == comp["id"], "left")
-    comp_id = F.when(F.col("doc_id").isNotNull(), F.coalesce("least", "first_id", "doc_id"))
-    return out.select("doc_id", "mark", "n_shingles", F.coalesce("component", "rep").alias("grp"), comp_id.alias("component_id"), F.coalesce(F.col("doc_id") == comp_id, F.lit(True)).alias("kept"))
+    named = classes.select("digest", "rep", "first_id").join(comp, F.col("rep") == F.col("id"), "left").select("digest", F.coalesce("component", "rep").alias("grp"), F.coalesce("least", "first_id").alias("least"))
+    out = sets.select("doc_id", "mark", "n_shingles", "digest").join(named, "digest", "left")
+    comp_id = F.when(F.col("doc_id").isNotNull(), F.coalesce("least", "doc_id"))
+    return out.select("doc_id", "mark", "n_shingles", "grp", comp_id.alias("component_id"), F.coalesce(F.col("doc_id") == comp_id, F.lit(True)).alias("kept"))
+
+
+def _dealt(members: DataFrame, *more: str) -> DataFrame:
+    """Members of a band in its ``blocks``, each also sent to the earlier ones as a probe; partitions sorted for ``meetings``."""
+    left = members.withColumn("block", F.pmod(F.xxhash64("rep"), "blocks"))
+    row = ["band", "at", "rep", "comp", "size", "signature", *more]
+    home = left.select(F.xxhash64("band", "block").alias("grp"), F.lit(False).alias("probe"), *row)
+    probes = left.filter("block > 0").withColumn("to", F.explode(F.sequence(F.lit(0).cast("long"), F.col("block") - 1)))
+    probes = probes.select(F.xxhash64("band", "to").alias("grp"), F.lit(True).alias("probe"), *row)
+    return home.union(probes).repartition("grp").sortWithinPartitions("grp", "probe")
 
 
 def without_near_duplicates(docs: DataFrame, percent: int = 75) -> DataFrame:
@@ -332,9 +390,9 @@ def without_near_duplicates(docs: DataFrame, percent: int = 75) -> DataFrame:
     """
     found = _grouped(docs, percent).filter("kept and doc_id is not null")
     bare = F.when(F.col("grp").isNull(), F.col("mark")).alias("bare")  # texts without words link with nothing
-    kept = found.groupBy("doc_id", "grp", bare).agg(F.min("mark").alias("_kept_mark")).select(F.col("doc_id").alias("_kept_id"), "_kept_mark")
-    named = docs.filter("doc_id is not null").withColumn("_text_mark", _mark(F.col("text")))
-    out = named.join(kept, (F.col("doc_id") == F.col("_kept_id")) & (F.col("_text_mark") == F.col("_kept_mark")), "left_semi")
+    kept = found.groupBy("doc_id", "grp", bare).agg(F.min("mark").alias("mark")).select("doc_id", "mark")
+    rows = docs.select(whole_rows(docs), F.col("doc_id").cast("long").alias("doc_id"), _mark(F.col("text")).alias("mark"))
+    out = rows.filter("doc_id is not null").join(kept, ["doc_id", "mark"], "left_semi")
     if not docs.filter("doc_id is not null").groupBy("doc_id").count().filter("count > 1").isEmpty():  # reads ids only; texts are sorted only where ids repeat
-        out = out.dropDuplicates(["doc_id", "_text_mark"])
-    return out.drop("_text_mark").unionByName(docs.filter("doc_id is null"))
+        out = out.dropDuplicates(["doc_id", "mark"])
+    return out.unionByName(rows.filter("doc_id is null")).select("doc.*")

@@ -111,6 +111,39 @@ def test_texts_that_share_an_id(spark):
         assert kept == {(5, "a0"): 1, (5, "b0"): 1, (3, "c0"): 1, (5, ""): 1, (5, " "): 1}
 
 
+def test_a_large_group_around_the_threshold(spark, monkeypatch):
+    """Texts of a group are 0.6 to 0.85 alike; they share bands but few link. Small blocks make members meet across blocks."""
+    rng = random.Random(11)
+    base = [f"b{i}" for i in range(120)]
+    rows = []
+    for i in range(400):
+        w = list(base)
+        for k in rng.sample(range(120), rng.choice((1, 2, 3, 4))):
+            w[k] = f"x{rng.randrange(6)}"
+        rows.append((i * 3 % 401, " ".join(w)))
+    expected, links = near_expected(rows)
+    assert len(links) > 300 and len({c for _, _, c, _ in expected}) > 5
+    made = {}
+    stage = neardup.stage
+    monkeypatch.setattr(neardup, "stage", lambda df, label, *a: made.setdefault((label, len(made)), stage(df, label, *a)))
+    for block, hashes in ((2048, 4 << 20), (16, 4 << 20), (64, 1000)):
+        made.clear()
+        monkeypatch.setattr(neardup, "BLOCK", block), monkeypatch.setattr(neardup, "BLOCK_HASHES", hashes)
+        assert {tuple(r) for r in neardup.near_duplicates(docs_of(spark, rows)).collect()} == expected
+        bands, found = (next(df.count() for (label, _), df in made.items() if label == name) for name in ("likely-members", "found"))
+        assert 0 < found <= bands  # at most one link per member and band
+
+
+def test_near_duplicates_with_clashing_names(spark):
+    rows = corpus(20, 9)
+    expected = {i for i, _, _, kept in near_expected(rows)[0] if kept}
+    df = docs_of(spark, rows, extra=True)
+    for c in ("_kept_id", "_kept_mark", "_text_mark", "mark", "doc", "grp", "id", "Kept", "a.b"):
+        df = df.withColumn(c, F.lit(c))
+    kept = neardup.without_near_duplicates(df)
+    assert kept.columns == df.columns and {r["doc_id"] for r in kept.collect()} == expected
+
+
 def test_bayes_bounds_rise_and_spare_similar_pairs():
     least = neardup.least_matches(0.75, 1e-6)
     assert list(least) == sorted(least)
