@@ -1,4 +1,4 @@
-"""Text functions of the workload: reading a model's answer (FN12), flattening (FN13), unix times (FN10)."""
+"""Text functions of the workload: reading a model's answer (FN12), flattening (FN13), unix times (FN10), seeded workload values (FN15)."""
 
 from __future__ import annotations
 
@@ -29,5 +29,20 @@ def flatten_strings(variant: Column) -> Column:
     return F.coalesce(one, F.array_compact(pick))
 
 
+def _seeded(value: Column, seed: int) -> Column:
+    """32 bits that depend on the value and the seed alone, so that a row that is computed again is the same."""
+    return F.conv(F.substring(F.md5(F.concat_ws(":", F.lit(str(seed)), value.cast("string"))), 1, 8), 16, 10).cast("long")
+
+
+def seeded_uniform(value: Column, low: float, high: float, seed: int) -> Column:
+    """FN15: a number between ``low`` and ``high``."""
+    return F.lit(low) + F.lit(high - low) * (_seeded(value, seed) / F.lit(4294967296.0))
+
+
+def seeded_choice(value: Column, options: list[str], seed: int) -> Column:
+    """FN15: one of the options."""
+    return F.get(F.array(*map(F.lit, options)), (_seeded(value, seed) % len(options)).cast("int"))
+
+
 def from_unix(seconds: Column) -> Column:
     return F.timestamp_seconds(seconds)

@@ -2,17 +2,10 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-
-def _scratch(spark: SparkSession) -> str:
-    """A new folder where executors and driver both reach it: below spark.checkpoint.dir, or a local one where that is unset."""
-    top = spark.sparkContext.getConf().get("spark.checkpoint.dir") or "file://" + tempfile.mkdtemp(prefix="changeloom-")
-    return f"{top.rstrip('/')}/walks-{uuid.uuid4().hex}"
+from ..sources.files import scratch
 
 
 def _written(df: DataFrame, path: str) -> DataFrame:
@@ -29,7 +22,7 @@ def descendants(edges: DataFrame, roots: DataFrame) -> DataFrame:
     shared folder. A loop below a root has no end and raises ``ValueError``.
     """
     spark = edges.sparkSession
-    folder, n = _scratch(spark), 1
+    folder, n = scratch(spark, "walks"), 1
     steps = _written(edges.select("id", "up").filter("id is not null and up is not null"), f"{folder}/steps-{n}")
     ids = steps.select("id").union(steps.select("up")).distinct().count()
     found = [_written(roots.select("id", F.col("id").alias("root"), F.lit(0).cast("long").alias("depth")), f"{folder}/found-0")]

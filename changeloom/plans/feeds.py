@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,17 +9,12 @@ from ..operators import audit as audits
 from ..operators import feed as feeds
 from ..operators import merge as merges
 from ..operators import state as states
+from ..sources.files import scratch
 from ..sources.txlog import ChangeTable
 from ..streaming.runs import run_silver, silver_view
 from .synth import EVENTS_FEED_SQL, ORDERS_FEED_SQL, WATERMARK, events_feed, orders_feed, table
 
 
-def scratch(spark: SparkSession, name: str) -> str:
-    """A new folder where executors and driver both reach it: below spark.checkpoint.dir, or a local one where that is unset."""
-    top = spark.sparkContext.getConf().get("spark.checkpoint.dir") or "file://" + tempfile.mkdtemp(prefix="changeloom-")
-    return f"{top.rstrip('/')}/{name}-{uuid.uuid4().hex}"
-
-
 def _feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return orders_feed(table(spark, sf_dir, "orders"))
 
@@ -39,11 +31,10 @@ SPLIT_SQL = "(select cast(floor((min(event_id) + max(event_id) + 1) / 2) as bigi
 
 
 def _halves(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """The events feed as two batches; the cut is a scalar subquery of the plan."""
+    """The events feed as two batches; the cut is a scalar subquery, so the filters reach the scan."""
     feed = _events(spark, sf_dir)
-    cut = feed.agg(F.floor((F.min("_cdc_lsn") + F.max("_cdc_lsn") + 1) / 2).cast("long").alias("_cut"))
-    both = feed.join(F.broadcast(cut))  # one row
-    return both.filter("_cdc_lsn < _cut").drop("_cut"), both.filter("_cdc_lsn >= _cut").drop("_cut")
+    cut = feed.agg(F.floor((F.min("_cdc_lsn") + F.max("_cdc_lsn") + 1) / 2).cast("long").alias("cut")).scalar()
+    return feed.filter(F.col("_cdc_lsn") < cut), feed.filter(F.col("_cdc_lsn") >= cut)
 
 
 def feed_op_counts(spark, sf_dir):

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions import pgtypes, text
 from ..sources import catalog, items, wire
-from .feeds import scratch
+from ..sources.files import filesystem, scratch
 from .synth import table
 
 ORDERS = catalog.Table("public", "orders", (catalog.Column("id", "bigint", key=True), catalog.Column("status", "text"), catalog.Column("amount", "double precision")), 16_384)
@@ -40,28 +40,31 @@ def wire_decode_pgoutput(spark, sf_dir):
 
 
 def wire_decode_copy(spark, sf_dir):
-    """Customers as binary copy files, one per task, read back as snapshot rows."""
+    """Customers as binary copy files, one per task, read back as snapshot rows.
+
+    An attempt writes a file under a name of its own; only those that Spark's commit lists are read.
+    """
     folder = scratch(spark, "copy")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import uuid
 
-        from ..streaming.changelog import filesystem
-
         rows = []
         for b in batches:
             for k, n, bal, seg in zip(*(b.column(c).to_pylist() for c in ("c_custkey", "c_nationkey", "c_acctbal", "c_mktsegment"))):
                 rows.append([struct.pack(">q", k), struct.pack(">i", n), struct.pack(">d", bal), None if k % 9 == 0 else seg.encode(), bytes((k % 2,)), struct.pack(">q", k * 1_000_000)])
         fs, top = filesystem(folder)
         fs.create_dir(top, recursive=True)
-        with fs.open_output_stream(f"{top}/part-{uuid.uuid4().hex}.copy") as f:
+        name = f"part-{uuid.uuid4().hex}.copy"
+        with fs.open_output_stream(f"{top}/{name}") as f:
             f.write(wire.copy_stream(rows))
-        yield pa.RecordBatch.from_arrays([pa.array([len(rows)], pa.int64())], ["n"])
+        yield pa.RecordBatch.from_arrays([pa.array([f"{folder}/{name}"])], ["file"])
 
-    table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_acctbal", "c_mktsegment").mapInArrow(run, "n long").write.format("noop").mode("overwrite").save()
+    table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_acctbal", "c_mktsegment").mapInArrow(run, "file string").write.parquet(f"{folder}/_files")
+    files = [r["file"] for r in spark.read.parquet(f"{folder}/_files").collect()]  # one per task
     kinds = (("id", "bigint"), ("nation", "integer"), ("balance", "double precision"), ("segment", "text"), ("odd", "boolean"), ("seen", "timestamp with time zone"))
     t = catalog.Table("public", "customer", tuple(catalog.Column(n, k) for n, k in kinds))
-    out = wire.read_copy(spark, folder, t, 1_000_000)
+    out = wire.read_copy(spark, files, t, 1_000_000)
     return out.withColumn("seen", F.unix_seconds(pgtypes.normalised_timestamp(F.col("seen"))))
 
 
@@ -183,12 +186,12 @@ QUERIES = {
     ),
     "item_comments": (
         item_comments,
-        """with recursive i as (select o_orderkey as id, o_orderkey % 17 = 0 and o_orderkey >= 5 as gone from orders where o_orderkey between 1 and 4999 and o_orderkey % 1000 <> 999),
+        """with recursive i as (select o_orderkey as id, o_orderkey % 17 = 0 and o_orderkey >= 5 as gone from orders where o_orderkey % 1000 <> 999),
         tree as (select c.id, s.id as story_id, cast(null as bigint) as parent_id from i s join i c on s.id < 5 and c.id >= 5 and c.id // 5 = s.id and not c.gone
           union all select c.id, t.story_id, t.id from tree t join i c on c.id // 5 = t.id and not c.gone)
         select id, story_id, parent_id, id as posted from tree""",
     ),
-    "item_authors": (item_authors, "select distinct 'u' || (o_orderkey % 10) as id from orders where o_orderkey between 1 and 4999 and o_orderkey % 1000 <> 999 and o_orderkey % 4 <> 0"),
+    "item_authors": (item_authors, "select distinct 'u' || (o_orderkey % 10) as id from orders where o_orderkey % 1000 <> 999 and o_orderkey % 4 <> 0"),
     "corrupt_messages": (
         corrupt_messages,
         """with m as (select 2000000 + o_orderkey as lsn from orders union all select 3000000 + o_orderkey from orders where o_orderkey % 3 = 0 union all select 4000000 + o_orderkey from orders where o_orderkey % 7 = 0)

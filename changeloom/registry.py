@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from .plans import feeds, services, wires
+from .plans import feeds, landing, services, wires
 
-_ALL = feeds.QUERIES | wires.QUERIES | services.QUERIES
+_ALL = feeds.QUERIES | wires.QUERIES | services.QUERIES | landing.QUERIES
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -16,4 +16,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {name: sql for name, (_, sql) in _ALL.items()}
+    return {name: sql for name, (_, sql) in _ALL.items() if sql is not None}

@@ -95,6 +95,11 @@ def registry_of(columns: DataFrame, only: frozenset[str] = frozenset()) -> Regis
     return out
 
 
+def slot_exists(slots: DataFrame, name: str) -> DataFrame:
+    """AGG11: whether the source has a slot of a name: ``n, present``."""
+    return slots.filter(F.col("slot_name") == name).agg(F.count("*").alias("n")).select("n", (F.col("n") > 0).alias("present"))
+
+
 def known_type(oid: int, catalog_type: str | None) -> str:
     """J3: a streamed column takes the catalog's type if it has one, else that of its type id, else text."""
     return catalog_type or TYPE_OIDS.get(oid, "text")

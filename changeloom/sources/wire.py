@@ -9,19 +9,24 @@ Encoders for the same formats make fixtures; no database is needed.
 from __future__ import annotations
 
 import struct
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterable, Iterator, Sequence
 
 import pyarrow as pa
+from pyspark.sql import Column as SparkColumn
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from ..functions.pgtypes import base_type, decoder, from_text
-from ..operators.feed import with_metadata
+from ..functions.pgtypes import base_type, decoder, from_text, op_name, spark_type, widened
+from ..operators.feed import LSN, OP, TIME, with_metadata
 from .catalog import Column, Table, known_type
+from .files import filesystem
 
 COPY_SIGNATURE = b"PGCOPY\n\xff\r\n\0"
 #: A streamed frame's kind, and what its header holds after it: start and end position, and time.
 FRAME_HEAD = 25
+#: A copy file is read in pieces of so many bytes.
+PIECE_BYTES = 4 << 20
 
 # Decoding
 
@@ -30,6 +35,9 @@ class Bad(ValueError):
     """A message that can't be read."""
 
 
+_FILLED, _NULL, _UNCHANGED, _SIZE = frozenset(b"tb"), ord("n"), ord("u"), struct.Struct(">i").unpack_from
+
+
 class _Bytes:
     def __init__(self, data: bytes, at: int = 0):
         self.data, self.at = data, at
@@ -54,18 +62,26 @@ class _Bytes:
 
     def tuple(self) -> tuple[list[str | None], list[int]]:
         """Cells as texts, and the places of unchanged ones."""
-        cells: list[str | None] = []
+        data, end = self.data, len(self.data)
+        n, at = self.number(">H"), self.at
+        cells: list[str | None] = [None] * n
         unchanged: list[int] = []
-        for i in range(self.number(">H")):
-            kind = self.take(1)
-            if kind in (b"t", b"b"):
-                cells.append(self.take(self.number(">i")).decode("utf-8", "replace"))
-            elif kind in (b"n", b"u"):
-                cells.append(None)
-                if kind == b"u":
-                    unchanged.append(i)
-            else:
-                raise Bad(f"unknown cell kind {kind!r}")
+        for i in range(n):
+            if at >= end:
+                raise Bad("cut off")
+            kind = data[at]
+            at += 1
+            if kind in _FILLED:
+                size, at = _SIZE(data, at)[0], at + 4
+                if size < 0 or at + size > end:
+                    raise Bad("cut off")
+                cells[i] = data[at : at + size].decode("utf-8", "replace")
+                at += size
+            elif kind == _UNCHANGED:
+                unchanged.append(i)
+            elif kind != _NULL:
+                raise Bad(f"unknown cell kind {bytes((kind,))!r}")
+        self.at = at
         return cells, unchanged
 
 
@@ -131,13 +147,20 @@ DECODED = (
 
 def _decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
-        rows = []
-        for lsn, payload in zip(b.column("lsn").to_pylist(), b.column("payload").to_pylist()):
+        columns: dict[str, list] = {}
+        for i, payload in enumerate(b.column("payload").to_pylist()):
             try:
-                rows.append(parse_message(payload) | {"lsn": lsn})
+                found = parse_message(payload)
             except (Bad, struct.error) as e:
-                rows.append({"lsn": lsn, "error": str(e) or "unreadable", "payload": payload})
-        yield pa.RecordBatch.from_pylist(rows, _DECODED)
+                found = {"error": str(e) or "unreadable", "payload": payload}
+            for name, value in found.items():
+                column = columns.setdefault(name, [])
+                if len(column) < i:  # rows without it
+                    column.extend([None] * (i - len(column)))
+                column.append(value)
+        n = b.num_rows
+        arrays = [pa.array((x := columns[f.name]) + [None] * (n - len(x)), f.type) if f.name in columns else pa.nulls(n, f.type) for f in _DECODED if f.name != "lsn"]
+        yield pa.RecordBatch.from_arrays([b.column("lsn"), *arrays], schema=_DECODED)
 
 
 def decode_messages(messages: DataFrame) -> DataFrame:
@@ -175,40 +198,54 @@ def tables_of(relations: DataFrame, catalog: dict[str, Table] | None = None) ->
 
 
 def typed_rows(decoded: DataFrame, layouts: list[tuple[int, Table]], pk_change: str = "split", unchanged: bool = True, received_us: int | None = None) -> DataFrame:
-    """SRC9, PRJ1, PRJ4: change rows of one table with typed columns and metadata.
+    """SRC9, PRJ1, PRJ4: change rows of one table with typed columns and metadata, in one pass over the messages.
 
-    ``layouts``: the table's layouts with the positions from which they hold; each change is read by the one in force.
+    ``layouts``: the table's layouts with the positions from which they hold; each change is read by the one in force. The
+    result has the columns of all of them; a column whose type differs between layouts gets a type that holds both.
     ``pk_change`` "split" turns an update that changes the key into a delete of the old key and the update; "new_only" does
     not. A short row leaves columns null, a long one is cut to the layout. ``received_us`` is the time of landing.
     """
-    from functools import reduce
-
-    changes = decoded.filter(F.col("error").isNull() & F.col("kind").isin("I", "U", "D"))
-    now = F.lit(received_us) if received_us is not None else F.unix_micros(F.current_timestamp())
-    parts = []
-    for i, (since, table) in enumerate(layouts):
-        rows = changes.filter(F.col("relation_id") == table.relation_id)
-        if i:
-            rows = rows.filter(F.col("lsn") >= since)
-        if i + 1 < len(layouts):
-            rows = rows.filter(F.col("lsn") < layouts[i + 1][0])
-
-        def projected(cells: str, rows: DataFrame, op, table: Table = table) -> DataFrame:
-            cols = [from_text(F.get(F.col(cells), F.lit(k)), c.data_type).alias(c.name) for k, c in enumerate(table.columns)]
-            names = F.array(*[F.lit(c.name) for c in table.columns])
-            extra = [F.transform("unchanged", lambda k: F.get(names, k)).alias("_cdc_unchanged")] if unchanged else []
-            return with_metadata(rows.select("lsn", "kind", *cols, *extra), op, now, F.col("lsn")).drop("lsn", "kind")
-
-        from ..functions.pgtypes import op_name
-
-        merged = rows.withColumn("_cells", F.when(F.col("kind") == "D", F.col("old")).otherwise(F.col("cells")))
-        parts.append(projected("_cells", merged, op_name(F.col("kind"))))
-        keys = [k for k, c in enumerate(table.columns) if c.key]
-        if pk_change == "split" and keys:
-            moved = rows.filter((F.col("kind") == "U") & F.col("old").isNotNull())
-            differs = reduce(lambda a, b: a | b, [~F.get("old", F.lit(k)).eqNullSafe(F.get("cells", F.lit(k))) for k in keys])
-            parts.append(projected("old", moved.filter(differs), F.lit("DELETE")))
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    kinds: dict[str, T.DataType] = {}
+    in_force, moved = F.lit(None).cast("int"), F.lit(False)
+    for i, (since, table) in reversed(list(enumerate(layouts))):
+        holds = F.col("relation_id") == table.relation_id
+        holds = holds & (F.col("lsn") >= since) if i else holds
+        holds = holds & (F.col("lsn") < layouts[i + 1][0]) if i + 1 < len(layouts) else holds
+        in_force = F.when(holds, F.lit(i)).otherwise(in_force)
+    for i, (_, table) in enumerate(layouts):
+        for c in table.columns:
+            own = spark_type(c.data_type)
+            kinds[c.name] = widened(kinds.get(c.name, own), own)
+        for k in (k for k, c in enumerate(table.columns) if c.key):
+            moved = moved | ((F.col("_layout") == i) & ~F.get("old", F.lit(k)).eqNullSafe(F.get("cells", F.lit(k))))
+    changes = decoded.filter(F.col("error").isNull() & F.col("kind").isin("I", "U", "D")).withColumn("_layout", in_force).filter("_layout is not null")
+    time = (F.lit(received_us) if received_us is not None else F.unix_micros(F.current_timestamp())).cast("long")
+
+    def by_layout(value) -> SparkColumn:
+        """``value`` of the layout in force; one that gives none has null."""
+        out = F.lit(None)
+        for i, (_, table) in enumerate(layouts):
+            if (x := value(table)) is not None:
+                out = F.when(F.col("_layout") == i, x).otherwise(out)
+        return out
+
+    def change(cells: str, op: SparkColumn) -> SparkColumn:
+        def cell(name: str) -> SparkColumn:
+            def read(table: Table) -> SparkColumn | None:
+                k = next((k for k, c in enumerate(table.columns) if c.name == name), None)
+                return None if k is None else from_text(F.get(cells, F.lit(k)), table.columns[k].data_type).cast(kinds[name])
+
+            return by_layout(read).cast(kinds[name]).alias(name)
+
+        names = by_layout(lambda table: F.array(*[F.lit(c.name) for c in table.columns]))
+        extra = [F.transform("unchanged", lambda k: F.get(names, k)).alias("_cdc_unchanged")] if unchanged else []
+        return F.struct(*map(cell, kinds), *extra, op.alias(OP), time.alias(TIME), F.col("lsn").alias(LSN))
+
+    changes = changes.withColumn("_cells", F.when(F.col("kind") == "D", F.col("old")).otherwise(F.col("cells")))
+    legs = [change("_cells", op_name(F.col("kind")))]
+    if pk_change == "split":
+        legs.append(F.when((F.col("kind") == "U") & F.col("old").isNotNull() & moved, change("old", F.lit("DELETE"))))
+    return changes.select(F.inline(F.array_compact(F.array(*legs))))
 
 
 def truncated(decoded: DataFrame) -> DataFrame:
@@ -216,21 +253,46 @@ def truncated(decoded: DataFrame) -> DataFrame:
     return decoded.filter("kind = 'T'").select(F.explode("relations").alias("relation_id"), "lsn")
 
 
-def parse_copy(data: bytes) -> Iterator[list[bytes | None]]:
-    """SRC4: the rows of a binary copy stream."""
-    b = _Bytes(data)
-    if b.take(11) != COPY_SIGNATURE:
+def parse_copy(data: bytes | Iterable[bytes]) -> Iterator[list[bytes | None]]:
+    """SRC4: the rows of a binary copy stream, whole or cut into pieces anywhere; one row and one piece are held."""
+    pieces, held, at = iter((data,) if isinstance(data, bytes) else data), b"", 0
+
+    def take(n: int) -> bytes:
+        nonlocal held, at
+        if n < 0:
+            raise Bad("cut off")
+        if at + n > len(held):
+            parts, have = [held[at:]], len(held) - at
+            while have < n:
+                if (piece := next(pieces, None)) is None:
+                    raise Bad("cut off")
+                parts.append(piece)
+                have += len(piece)
+            held, at = b"".join(parts), 0
+        at += n
+        return held[at - n : at]
+
+    if take(11) != COPY_SIGNATURE:
         raise Bad("no copy stream")
-    b.take(4)
-    b.take(b.number(">i"))
-    while (n := b.number(">h")) != -1:
-        yield [None if (size := b.number(">i")) < 0 else b.take(size) for _ in range(n)]
+    take(4)
+    take(int.from_bytes(take(4), signed=True))
+    while (n := int.from_bytes(take(2), signed=True)) != -1:
+        yield [None if (size := int.from_bytes(take(4), signed=True)) < 0 else take(size) for _ in range(n)]
 
 
-def read_copy(spark: SparkSession, path: str, table: Table, watermark: int) -> DataFrame:
-    """SRC3-5: binary copy files as snapshot rows. A field that its type can't be read from is null; a file that is cut off raises."""
+def _copy_cells(sources: DataFrame, table: Table, streamed: bool) -> DataFrame:
+    """``cells`` of copy streams: the one column holds their paths (``streamed``) or their bytes."""
     types = [base_type(c.data_type) for c in table.columns]
 
+    def pieces(source: str | bytes) -> Iterator[bytes]:
+        if not streamed:
+            yield source
+            return
+        fs, at = filesystem(source)
+        with fs.open_input_stream(at) as f:
+            while piece := f.read(PIECE_BYTES):
+                yield piece
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         read = [decoder(t) for t in types]
 
@@ -241,9 +303,9 @@ def read_copy(spark: SparkSession, path: str, table: Table, watermark: int) -> D
                 return None
 
         for b in batches:
-            for content in b.column("content"):
+            for source in b.column(0):
                 rows: list[list[str | None]] = []
-                for fields in parse_copy(content.as_py()):
+                for fields in parse_copy(pieces(source.as_py())):
                     rows.append([text(i, fields[i]) if i < len(fields) else None for i in range(len(types))])
                     if len(rows) == 4096:
                         yield pa.RecordBatch.from_arrays([pa.array(rows, pa.list_(pa.string()))], ["cells"])
@@ -251,11 +313,33 @@ def read_copy(spark: SparkSession, path: str, table: Table, watermark: int) -> D
                 if rows:
                     yield pa.RecordBatch.from_arrays([pa.array(rows, pa.list_(pa.string()))], ["cells"])
 
-    files = spark.read.format("binaryFile").load(path).select("content")
-    cells = files.mapInArrow(run, "cells array<string>")
+    return sources.mapInArrow(run, "cells array<string>")
+
+
+def _snapshot(cells: DataFrame, table: Table, watermark: int) -> DataFrame:
     return with_metadata(cells.select(*[from_text(F.get("cells", F.lit(i)), c.data_type).alias(c.name) for i, c in enumerate(table.columns)]), "SNAPSHOT", 0, watermark)
 
 
+def copy_rows(streams: DataFrame, table: Table, watermark: int) -> DataFrame:
+    """SRC3-5: binary copy streams in column ``content``, a whole stream per row, as snapshot rows."""
+    return _snapshot(_copy_cells(streams.select("content"), table, False), table, watermark)
+
+
+def read_copy(spark: SparkSession, path: str | list[str], table: Table, watermark: int) -> DataFrame:
+    """SRC3-5: binary copy files as snapshot rows. A field that its type can't be read from is null; a file that is cut off raises.
+
+    A copy stream has no marks to begin in the middle at, so a file is one task; it is streamed piece by piece, so its size
+    is not bounded by memory. A path that pyarrow has no filesystem for is read by Spark as whole files, of 2 GB at most.
+    """
+    listed = spark.read.format("binaryFile").load(path)
+    try:
+        filesystem(path if isinstance(path, str) else path[0])
+        streamed = True
+    except (pa.ArrowInvalid, OSError):
+        streamed = False
+    return _snapshot(_copy_cells(listed.select("path" if streamed else "content"), table, streamed), table, watermark)
+
+
 # Encoding
 
 

@@ -37,6 +37,24 @@ def _actions(path: str, file: str) -> list[dict]:
         return [json.loads(x) for x in f.read().decode().splitlines() if x.strip()]
 
 
+def _schema(path: str) -> str | None:
+    """The last schema of the log: from the commits after its last checkpoint, or else from that."""
+    fs, top = filesystem(path)
+    held = fs.get_file_info(pafs.FileSelector(f"{top}/_delta_log", allow_not_found=True))
+    held = max((f.path for f in held if re.fullmatch(r"\d{20}\.checkpoint\.parquet", f.base_name)), default=None)
+    start = int(held.rpartition("/")[2][:20]) if held else -1
+    for v, f in reversed(_log(path)):
+        if v <= start:
+            break
+        for a in _actions(path, f):
+            if "metaData" in a:
+                return a["metaData"]["schemaString"]
+    if held is None:
+        return None
+    meta = pq.read_table(held, columns=["metaData"], filesystem=fs)["metaData"].to_pylist()
+    return next(m["schemaString"] for m in meta if m)
+
+
 class CommittedFile(InputPartition):
     def __init__(self, file: str):
         super().__init__(file)
@@ -73,11 +91,7 @@ class ChangeLogSource(DataSource):
         return "changelog"
 
     def schema(self) -> StructType:
-        found = None
-        for _, f in _log(self.options["path"]):
-            for a in _actions(self.options["path"], f):
-                if "metaData" in a:
-                    found = a["metaData"]["schemaString"]
+        found = _schema(self.options["path"])
         if found is None:
             raise FileNotFoundError(f"no table at {self.options['path']}")
         return StructType.fromJson(json.loads(found))

@@ -192,3 +192,67 @@ def test_items_of_all_orders(spark):
     parsed = wires._items(spark, top)
     assert {r["id"] for r in parsed.select("id").collect()} == read
     assert {r["id"] for r in wires.item_authors(spark, top).collect()} == {f"u{k % 10}" for k in read if k % 4}
+
+
+def test_a_timed_run_drains_and_resumes_at_a_position(spark, tmp_path):
+    from changeloom.streaming.runs import confirmed, drain, spool
+
+    feed = [(10, wire.relation(1, "t", [("id", 23, True)])), *((20 + i, wire.insert(1, [i])) for i in range(7)), (99, b"?")]
+    assert confirmed(spark, f"file://{tmp_path}/out").first()["lsn"] is None
+    spool(spark.createDataFrame(feed, "lsn long, payload binary").coalesce(1), f"{tmp_path}/feed", max_rows=2)
+    start = lambda out, **options: run_bronze(spark, f"{tmp_path}/feed", f"file://{tmp_path}/{out}", f"{tmp_path}/{out}-check", max_files=1, received_us=5, **options)
+    drain(start("out", once=False, every="0 seconds"))
+    epochs = ChangeTable(spark, f"file://{tmp_path}/out/_epochs").read()
+    assert epochs.count() == 5  # of two rows at most
+    assert sorted(r["id"] for r in ChangeTable(spark, f"file://{tmp_path}/out/t").read().collect()) == list(range(7))
+    lsn, message = confirmed(spark, f"file://{tmp_path}/out").first()
+    assert lsn == 99 and bytes(message) == wire.status_update(99)
+
+    start("later", from_lsn=24).awaitTermination()
+    assert sorted(r["id"] for r in ChangeTable(spark, f"file://{tmp_path}/later/t").read().collect()) == [4, 5, 6]
+
+
+def test_copy_streams_are_read_piece_by_piece(spark, tmp_path, monkeypatch):
+    rows = [[struct.pack(">i", i), None if i % 3 else b"x" * i] for i in range(300)]
+    data = wire.copy_stream(rows)
+    for size in (1, 7, 4096):
+        assert list(wire.parse_copy(data[a : a + size] for a in range(0, len(data), size))) == rows
+    with pytest.raises(wire.Bad):
+        list(wire.parse_copy([data[:-30]]))
+    (tmp_path / "a b.copy").write_bytes(data)
+    t = catalog.Table("public", "t", (catalog.Column("id", "integer"), catalog.Column("x", "text")))
+    got = sorted((r["id"], r["x"]) for r in wire.read_copy(spark, f"file://{tmp_path}", t, 5).collect())
+    assert got == [(i, None if i % 3 else "x" * i) for i in range(300)]
+
+
+def test_layouts_whose_types_differ_are_read_in_one_pass(spark):
+    column = lambda n, k, key=False: catalog.Column(n, k, key=key)
+    old = catalog.Table("public", "t", (column("id", "integer", True), column("x", "integer")), 1)
+    new = catalog.Table("public", "t", (column("x", "bigint"), column("id", "integer", True), column("y", "text")), 1)
+    feed = [(5, wire.insert(1, ["1", "7"])), (20, wire.insert(1, [str(2**40), "2", "z"])), (21, wire.update(1, ["3", "4", None], ["3", "2", None], b"O")), (6, wire.insert(9, ["1"]))]
+    decoded = wire.decode_messages(spark.createDataFrame(feed, "lsn long, payload binary"))
+    df = wire.typed_rows(decoded, [(1, old), (10, new)], unchanged=False, received_us=0)
+    assert dict(df.dtypes)["x"] == "bigint"
+    got = sorted((r["_cdc_lsn"], r["_cdc_op"], r["id"], r["x"], r["y"]) for r in df.collect())
+    assert got == [(5, "INSERT", 1, 7, None), (20, "INSERT", 2, 2**40, "z"), (21, "DELETE", 2, 3, None), (21, "UPDATE", 4, 3, None)]
+    assert df._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1
+
+
+def test_catalog_is_read_over_jdbc(spark):
+    """The four catalog queries, answered by frames in the place of a database."""
+    frames = {
+        "pg_class": spark.sql("select 1L oid, 't' relname, 9L relnamespace, 'r' relkind, 'd' relreplident"),
+        "pg_namespace": spark.sql("select 9L oid, 'public' nspname"),
+        "pg_attribute": spark.sql("select * from values (1L, 'id', 1, 'integer', true, false), (1L, 'x', 2, 'numeric(9,2)', false, false) t(attrelid, attname, attnum, type_name, attnotnull, attisdropped)"),
+        "pg_index": spark.sql("select 1L indrelid, array(1) indkey, true indisprimary"),
+    }
+
+    class Session:
+        class read:  # noqa: N801
+            @staticmethod
+            def jdbc(url, query, properties):
+                assert url == "jdbc:x" and properties == {"user": "u"}
+                return next(df for name, df in frames.items() if f"from {name})" in query)
+
+    found = catalog.read_catalog(Session, "jdbc:x", {"user": "u"}).get("t")
+    assert found.columns == (catalog.Column("id", "integer", False, True), catalog.Column("x", "numeric(9,2)", True, False))
