@@ -2,6 +2,13 @@
 
 Each stage takes (spark, docs, sf_dir) and keeps or packs all that its predecessor kept. Models are fitted on the labelled
 rows of the corpus itself (``sf_dir``), so a stage does not lose its examples to the stages before it.
+
+Defined cases, for every stage: all columns but ``doc_id`` and ``text`` are carried whole, whatever their names, and may be
+null (``source`` and ``lang`` are read as a site; null is a site of its own). A null text counts as an empty one. A row
+with a null id is judged by its text like any other, is never a near duplicate, and is packed under a null id. Of equal
+rows one stays after the near-duplicate stage; rows of one id with texts that are not linked all stay. Ties in a score are
+decided by the threshold alone (0.5: good, and toxic). Texts of any length are read whole. An empty corpus gives an empty
+result, and one without labels of both kinds keeps what the prior keeps.
 """
 
 from __future__ import annotations
