@@ -71,7 +71,7 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .warc import archived
 
-    back = archived(_table(spark, sf_dir, "pages"), payload="response", verify=True)
+    back = archived(_table(spark, sf_dir, "pages"), payload="response", verify=True).filter(F.col("warc_type").isin("response", "revisit"))  # pushed down to the headers
     revisited = F.col("warc_type") == "revisit"
     return back.select("page_id", "payload_bytes", "payload_digest", F.col("warc_type").alias("record_type"), F.when(revisited, F.regexp_extract("refers_to", r"page:(-?\d+)$", 1).cast("long")).alias("refers_to"))
 
@@ -89,7 +89,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 def oracle_sql() -> dict[str, str]:
     from .license import oracle
 
-    return {"op2_license_scan": oracle(), "op6_exact_top_k": OP6_SQL, "op7_embedding_near_dedup": OP7_SQL}
+    return {"op1_minhash_near_dedup": OP1_SQL, "op2_license_scan": oracle(), "op9_warc": OP9_SQL, "op6_exact_top_k": OP6_SQL, "op7_embedding_near_dedup": OP7_SQL}
 
 
 _FINITE = "len(embedding) > 0 and list_count(embedding) = len(embedding) and len(list_filter(embedding, lambda x: not isfinite(x))) = 0"
@@ -117,3 +117,39 @@ d as (select a, count(*) as n from links group by a)
 select e.vec_id, cast(coalesce(d.n, 0) as bigint) as n_links, c.component_id, e.vec_id = c.component_id as kept
 from embeddings e join c on c.id = e.vec_id left join d on d.a = e.vec_id
 """
+
+OP1_SQL = """
+with recursive words as (
+  select doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') as w
+  from documents),
+sets as (
+  select doc_id, case when len(w) = 0 then [] when len(w) < 5 then [array_to_string(w, ' ')]
+                      else list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i : i + 4], ' '))) end as s
+  from words),
+each as (select doc_id, len(s) as n, unnest(s) as shingle from sets),
+met as (select a.doc_id as a, b.doc_id as b, any_value(a.n) as na, any_value(b.n) as nb, count(*) as common
+        from each a join each b on a.shingle = b.shingle and a.doc_id <> b.doc_id
+        where 100 * least(a.n, b.n) >= 75 * greatest(a.n, b.n) group by a.doc_id, b.doc_id),
+links as (select a, b from met where 100 * common >= 75 * (na + nb - common)),
+reach as (select doc_id as id, doc_id as root from documents
+          union select l.b, r.root from reach r join links l on l.a = r.id),
+c as (select id, min(root) as component_id from reach group by id)
+select s.doc_id, cast(len(s.s) as bigint) as n_shingles, c.component_id, s.doc_id = c.component_id as kept
+from sets s join c on c.id = s.doc_id
+"""
+
+
+def _base32(hexadecimal: str) -> str:
+    """SQL: the base-32 digits of 40 hexadecimal ones; five of these are 20 bits, so four of those."""
+    group = lambda g: f"cast('0x' || substr({hexadecimal}, {5 * g + 1}, 5) as bigint)"
+    return " || ".join(f"substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', cast(({group(g)} >> {15 - 5 * k}) & 31 as integer) + 1, 1)" for g in range(8) for k in range(4))
+
+
+OP9_SQL = f"""
+with p as (select page_id, coalesce(html, '') as payload from pages),
+f as (select *, sha1(payload) as hex, min(page_id) over (partition by payload) as first from p)
+select page_id, cast(strlen(payload) as bigint) as payload_bytes, {_base32("hex")} as payload_digest,
+       case when page_id = first then 'response' else 'revisit' end as record_type,
+       case when page_id <> first then first end as refers_to
+from f
+"""

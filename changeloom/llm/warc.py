@@ -45,7 +45,7 @@ from pyspark.sql.datasource import (
     WriterCommitMessage,
 )
 
-from .common import bounded_batches, shared_dir
+from .common import bounded_batches, _later, shared_dir
 
 SCHEMA = "warc_type string, record_id string, target_uri string, warc_date string, payload_digest string, refers_to string, page_id long, payload_bytes long, payload binary, file string, offset long"
 #: Fixed values of the WARC 1.1 format.
@@ -341,10 +341,10 @@ def register(spark: SparkSession) -> None:
 
 
 def with_revisits(pages: DataFrame, min_bytes: int = 0, *, id_col: str = "page_id", url_col: str = "url", payload_col: str = "html") -> DataFrame:
-    """``page_id, url, payload, warc_type, refers_to``: of equal payloads of at least ``min_bytes`` the smallest id is the response."""
+    """``page_id, url, payload, warc_type, refers_to``: of equal payloads of at least ``min_bytes`` the smallest id is the response, the others revisit it."""
     p = pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).cast("string").alias("url"), F.encode(F.coalesce(F.col(payload_col).cast("string"), F.lit("")), "utf-8").alias("payload"))
     p = p.withColumn("key", F.when(F.octet_length("payload") >= min_bytes, F.sha2("payload", 256)))
-    first = p.filter("key is not null").groupBy("key").agg(F.min("page_id").alias("first_id"))
+    first = p.filter("key is not null").groupBy("key").agg(F.min("page_id").alias("first_id"), F.count("*").alias("n")).filter("n > 1").drop("n")  # small where few pages repeat
     revisit = F.col("first_id").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("first_id"))
     return p.join(first, "key", "left").select("page_id", "url", "payload", F.when(revisit, "revisit").otherwise("response").alias("warc_type"), F.when(revisit, F.col("first_id")).alias("refers_to"))
 
@@ -354,6 +354,8 @@ def archived(pages: DataFrame, path: str | None = None, min_bytes: int = 0, leve
     spark = pages.sparkSession
     bounded_batches(spark)
     register(spark)
-    path = path or f"{shared_dir(spark)}/warc-{uuid.uuid4().hex}"
+    if path is None:
+        path = f"{shared_dir(spark)}/warc-{uuid.uuid4().hex}"
+        _later(spark, path)
     with_revisits(pages, min_bytes, **columns).write.format("warc").mode("append").option("level", level).save(path)
     return spark.read.format("warc").option("payload", payload).option("verify", str(verify).lower()).load(path)
