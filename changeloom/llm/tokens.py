@@ -2,14 +2,16 @@
 
 Its steps are NFC, white space to one space, lower case, then a split into runs of letters, single digits and runs of
 other signs, each merged alone. No piece spans white space, so a text's ids are those of its chunks between white
-space, in order. Chunks repeat, so their ids are kept; the library is asked for new ones only. Texts with characters
-for which two Unicode versions might differ (outside ASCII and Latin) go to the library whole.
+space, in order. Chunks repeat, so their ids are kept; the library is asked for new ones only, all of a lot of texts together. A
+chunk of letters alone is one piece, so it goes to the library's merging step at once, in the step's alphabet. Texts with
+characters for which two Unicode versions might differ (outside ASCII and Latin) go to the library whole.
 """
 
 from __future__ import annotations
 
 import json
 import re
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -17,6 +19,18 @@ import pyarrow as pa
 #: The characters whose NFC form is themselves and whose lower case is the same in every Unicode version.
 _OTHER = re.compile("[^\t\n\r\x20-\x7e\xa1-\xac\xae-įı-ňŊ-ž]")
 MEMO_ENTRIES = 450_000
+#: Characters of the texts whose chunks are looked up together.
+LOT_CHARS = 1 << 20
+
+
+def _byte_alphabet() -> dict[int, str]:
+    """The sign that stands for each byte in byte-level vocabularies: itself where it is printed, else one from 256 on."""
+    shown = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    rest = [b for b in range(256) if b not in set(shown)]
+    return {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(rest)}
+
+
+_SIGNS = _byte_alphabet()
 
 
 class WordTokens:
@@ -33,48 +47,68 @@ class WordTokens:
         spec["normalizer"] = None
         self.plain = Tokenizer.from_str(json.dumps(spec))
         self.plain.encode_special_tokens = True
+        self.merging = self.plain.model.tokenize
         self.memo: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
+        self.full_stop, self.comma = (self._bytes(self.plain.encode(x, add_special_tokens=False).ids) for x in ".,")
 
     @staticmethod
     def _bytes(ids: list[int]) -> bytes:
         return np.array(ids, dtype="<u4").tobytes()
 
     def _learn(self, chunks: set[str]) -> None:
-        """Ids of chunks that aren't known; a full stop or comma after a letter or digit is a piece of its own."""
-        memo, older = self.memo, self.older
-        base = lambda c: c[:-1] if len(c) > 1 and c[-1] in ".," and c[-2].isalnum() else c
-        new: set[str] = set()
-        for c in {*chunks, *map(base, chunks), ".", ","}:
-            if c not in memo:
-                got = older.get(c)
-                if got is not None:
+        """Ids of chunks that aren't in the memory; a full stop or comma after a letter or digit is a piece of its own."""
+        memo, older, merging = self.memo, self.older, self.merging
+        ended, other = [], []
+        for chunk in chunks:
+            c = chunk
+            if (got := older.get(c)) is not None:
+                memo[c] = got
+                continue
+            if c[-1] in ".," and len(c) > 1 and c[-2].isalnum():
+                ended.append(c)
+                c = c[:-1]
+                if c in memo:
+                    continue
+                if (got := older.get(c)) is not None:
                     memo[c] = got
-                elif base(c) is c:
-                    new.add(c)
-        if new:
-            listed = list(new)
-            for c, e in zip(listed, self.plain.encode_batch_fast(listed, add_special_tokens=False)):
-                memo[c] = self._bytes(e.ids)
-        for c in chunks:
-            if c not in memo:
-                memo[c] = memo[c[:-1]] + memo[c[-1]]
+                    continue
+            if c.isalpha():
+                signs = c if c.isascii() else c.encode().decode("latin-1").translate(_SIGNS)
+                memo[c] = array("I", [t.id for t in merging(signs)]).tobytes()
+            else:
+                other.append(c)
+        for c, e in zip(other, self.plain.encode_batch_fast(other, add_special_tokens=False)):
+            memo[c] = self._bytes(e.ids)
+        for c in ended:
+            memo[c] = memo[c[:-1]] + (self.full_stop if c[-1] == "." else self.comma)
+
+    def _lot(self, texts: list[str]) -> list[bytes]:
+        chunks = [text.lower().split() for text in texts]
+        every = set().union(*chunks)
+        new = every.difference(self.memo)
+        if len(self.memo) + len(new) > MEMO_ENTRIES:  # what the newer table doesn't take over is forgotten with the older
+            self.older, self.memo, new = self.memo, {}, every
+        self._learn(new)
+        ids = self.memo.__getitem__
+        return [b"".join(map(ids, c)) for c in chunks]
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        out: list[bytes] = []
-        for text in texts:
+        out: list[bytes] = [b""] * len(texts)
+        lot: list[int] = []
+        chars = 0
+        for i, text in enumerate(texts):
             if _OTHER.search(text):
-                out.append(self._bytes(self.whole.encode(text, add_special_tokens=False).ids))
+                out[i] = self._bytes(self.whole.encode(text, add_special_tokens=False).ids)
                 continue
-            memo, chunks = self.memo, text.lower().split()
-            try:
-                out.append(b"".join([memo[c] for c in chunks]))
-            except KeyError:
-                if len(memo) > MEMO_ENTRIES:  # what the newer table doesn't take over is forgotten with the older
-                    self.older, self.memo = memo, {}
-                self._learn({c for c in chunks if c not in self.memo})
-                memo = self.memo
-                out.append(b"".join([memo[c] for c in chunks]))
+            lot.append(i)
+            chars += len(text)
+            if chars >= LOT_CHARS or i == len(texts) - 1:
+                for k, ids in zip(lot, self._lot([texts[k] for k in lot])):
+                    out[k] = ids
+                lot, chars = [], 0
+        for k, ids in zip(lot, self._lot([texts[k] for k in lot]) if lot else ()):
+            out[k] = ids
         return out
 
 
