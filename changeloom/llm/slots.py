@@ -5,8 +5,13 @@ follow each other; only one count per partition goes to the driver), and a keyed
 of four, walked along its cycle until it falls below n, turns each number into a global slot: a shuffle of the whole
 corpus that needs no random state and can be inverted. Slots are dealt out by range, and each range is written as shards
 of ``shard_rows`` records of one fixed stride, so record s is at byte (s mod shard_rows) * stride of shard s div
-shard_rows. Reading in slot order is sequential, and a reader resumes at any slot with one seek. A shard is written under
-a temporary name and renamed, so a repeated attempt replaces it by the same bytes.
+shard_rows. Reading in slot order is sequential, and a reader resumes at any slot with one seek. Each attempt writes a
+shard under a name of its own; the table ``_shards`` beside them names the files of the attempts that Spark committed, so
+what a lost or repeated attempt left is never read. No file is renamed or replaced.
+
+Sequences are staged and travel without their padding, in blocks that are compressed column by column: the sequences of a
+batch, and then those of a task that belong to the same few shards. The most frequent ids of a block take one byte. The
+writer pads.
 
 Record: doc_id int64, piece int32, length int32, then seq_len unsigned 16-bit ids (zeros beyond the length), all little-endian.
 
@@ -24,10 +29,11 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import pyarrow.dataset as pads
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded_batches, id_text, runs, shared_dir, stage, unstage
+from .common import bounded_batches, _later, id_text, runs, shared_dir, stage, unstage
 from .tokens import codec, texts_of
 from .warc import _filesystem
 
@@ -35,10 +41,11 @@ HEAD = np.dtype([("doc_id", "<i8"), ("piece", "<i4"), ("length", "<i4")])
 NO_ID = -(2**63)
 END = b"\0\0\0\0"
 ROUNDS = 6
-#: Records that a task gathers by shard before it sends them.
-GATHER_ROWS = 16_384
+#: Sequences that a task gathers by shard before it sends them, and shards that a writing task holds at a time.
+GATHER_ROWS, HELD_SHARDS = 65_536, 4
 #: Tasks that write shards, at most.
 MOST_TASKS = 20_000
+MANIFEST = "shard long, rows long, file string"
 
 
 def feistel(x: np.ndarray, n: int, key: int, inverse: bool = False) -> np.ndarray:
@@ -67,101 +74,151 @@ def feistel(x: np.ndarray, n: int, key: int, inverse: bool = False) -> np.ndarra
     return out.astype(np.int64)
 
 
+#: Ids of a block that have a byte of their own; the others have this byte and stand apart.
+FREQUENT = 255
+
+
+def _packed(columns: list[np.ndarray], ids: np.ndarray) -> tuple[bytes, int]:
+    """Columns of one length and ids, compressed; and the size of what was."""
+    counts = np.bincount(ids, minlength=1)
+    listed = np.argsort(-counts, kind="stable")[:FREQUENT]
+    listed = listed[counts[listed] > 0]
+    rank = np.full(len(counts), FREQUENT, np.uint8)
+    rank[listed] = np.arange(len(listed))
+    short = rank[ids]
+    rare = ids[short == FREQUENT]
+    head = np.array([len(columns[0]), len(ids), len(listed), len(rare)], "<u4")
+    data = b"".join([head.tobytes(), *(c.tobytes() for c in columns), listed.astype("<u2").tobytes(), short.tobytes(), (rare & 255).astype(np.uint8).tobytes(), (rare >> 8).astype(np.uint8).tobytes()])
+    return pa.compress(data, "zstd", asbytes=True), len(data)
+
+
+def _unpacked(block: bytes, size: int, kinds: tuple[str, ...]) -> tuple[list[np.ndarray], np.ndarray]:
+    data, at = pa.decompress(block, size, "zstd", asbytes=True), 16
+    n, n_ids, n_listed, n_rare = np.frombuffer(data, "<u4", 4).tolist()
+    columns = []
+    for kind in kinds:
+        columns.append(np.frombuffer(data, kind, n, at))
+        at += columns[-1].nbytes
+    listed = np.zeros(FREQUENT + 1, "<u2")
+    listed[:n_listed] = np.frombuffer(data, "<u2", n_listed, at)
+    at += 2 * n_listed
+    short = np.frombuffer(data, np.uint8, n_ids, at)
+    low, high = (np.frombuffer(data, np.uint8, n_rare, at + n_ids + k * n_rare) for k in (0, 1))
+    ids = listed[short]
+    ids[short == FREQUENT] = low.astype("<u2") | high.astype("<u2") << 8
+    return columns, ids
+
+
 def sequences(docs: DataFrame, vocabulary: str, seq_len: int = 256, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``part, local, doc_id, piece, ids``: 16-bit ids of each sequence, numbered within its partition."""
+    """``part, first, rows, size, block``: blocks of a partition's sequences (id, piece, length, ids of 16 bits), numbered within it from ``first`` on."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        words, part, local = codec(vocabulary), TaskContext.get().partitionId(), 0
+        words, part, first = codec(vocabulary), TaskContext.get().partitionId(), 0
         for b in batches:
-            docs_, piece, ids_ = [], [], []
-            for doc, ids in zip(b.column("doc_id").to_pylist(), words.encode(texts_of(b))):
-                wide = np.frombuffer(ids + END, "<u4")
-                if wide.max() > 0xFFFF:
-                    raise ValueError("an id has more than 16 bits")
-                small = wide.astype("<u2").tobytes()
-                for k, a in enumerate(range(0, len(small), 2 * seq_len)):
-                    docs_.append(doc), piece.append(k), ids_.append(small[a : a + 2 * seq_len])
-            n = len(docs_)
-            yield pa.RecordBatch.from_arrays([pa.array([part] * n, pa.int32()), pa.array(range(local, local + n), pa.int64()), pa.array(docs_, pa.int64()), pa.array(piece, pa.int32()), pa.array(ids_, pa.binary())], ["part", "local", "doc_id", "piece", "ids"])
-            local += n
+            if not b.num_rows:
+                continue
+            texts = [np.frombuffer(ids + END, "<u4") for ids in words.encode(texts_of(b))]
+            tokens = np.array([len(x) for x in texts])
+            ids = np.concatenate(texts)
+            if ids.max() > 0xFFFF:
+                raise ValueError("an id has more than 16 bits")
+            n = -(-tokens // seq_len)
+            row = np.repeat(np.arange(len(n)), n)
+            piece = np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)
+            length = np.minimum(seq_len, tokens[row] - piece * seq_len)
+            doc = b.column("doc_id").fill_null(NO_ID).to_numpy()[row]
+            block, size = _packed([doc.astype("<i8"), piece.astype("<i4"), length.astype("<u4")], ids.astype("<u2"))
+            yield pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([first], pa.int64()), pa.array([len(row)], pa.int64()), pa.array([size], pa.int64()), pa.array([block], pa.binary())], ["part", "first", "rows", "size", "block"])
+            first += len(row)
 
     bounded_batches(docs.sparkSession)
-    return id_text(docs, id_col, text_col).mapInArrow(run, "part int, local long, doc_id long, piece int, ids binary")
+    return id_text(docs, id_col, text_col).mapInArrow(run, "part int, first long, rows long, size long, block binary")
 
 
 def record_type(seq_len: int) -> np.dtype:
     return np.dtype([*HEAD.descr, ("ids", "<u2", (seq_len,))])
 
 
-def _records(doc: pa.Array, piece: pa.Array, ids: pa.Array, seq_len: int) -> np.ndarray:
-    out = np.zeros(len(ids), record_type(seq_len))
-    out["doc_id"], out["piece"] = doc.fill_null(NO_ID).to_numpy(), piece.to_numpy()
-    out["length"] = length = np.asarray(pc.binary_length(ids)) // 2
-    padded = out["ids"]
-    padded[np.arange(seq_len)[None, :] < length[:, None]] = np.frombuffer(b"".join(ids.to_pylist()), "<u2")
-    return out
+def _each(begin: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """begin .. begin + count - 1 of each range, one after the other."""
+    return np.arange(int(count.sum())) - np.repeat(np.cumsum(count) - count, count) + np.repeat(begin, count)
 
 
-def _placed(first: np.ndarray, n: int, key: int, seq_len: int, shard_rows: int):
-    """Records with their slots, gathered by shard and compressed, so that few and small rows are shuffled."""
+def _placed(start: np.ndarray, n: int, key: int, group_rows: int):
+    """Sequences with their slots, gathered by group of shards, so that few and small rows are shuffled."""
 
-    def blocks(held: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
-        slot, rec = (np.concatenate(x) for x in zip(*held))
+    def blocks(held: list[tuple[np.ndarray, ...]]) -> pa.RecordBatch:
+        number, doc, piece, length, ids = (np.concatenate(x) for x in zip(*held))
+        slot = feistel(number, n, key)
         order = np.argsort(slot, kind="stable")
-        slot, rec = slot[order], rec[order]
-        shard = slot // shard_rows
-        cuts = [0, *(np.nonzero(np.diff(shard))[0] + 1).tolist(), len(shard)]
-        packed = [pa.compress(slot[a:b].tobytes() + rec[a:b].tobytes(), "zstd", asbytes=True) for a, b in zip(cuts, cuts[1:])]
-        return pa.RecordBatch.from_arrays([pa.array(shard[cuts[:-1]]), pa.array([b - a for a, b in zip(cuts, cuts[1:])], pa.int64()), pa.array(packed, pa.binary())], ["shard", "rows", "block"])
+        begin = (np.cumsum(length, dtype=np.int64) - length)[order]
+        slot, doc, piece, length = slot[order], doc[order], piece[order], length[order]
+        ids = ids[_each(begin, length.astype(np.int64))]
+        at = np.concatenate([[0], np.cumsum(length, dtype=np.int64)])
+        group = slot // group_rows
+        cuts = [0, *(np.nonzero(np.diff(group))[0] + 1).tolist(), len(group)]
+        packed = [_packed([(slot[a:b] - group[a] * group_rows).astype("<u4"), doc[a:b], piece[a:b], length[a:b]], ids[at[a] : at[b]]) for a, b in zip(cuts, cuts[1:])]
+        return pa.RecordBatch.from_arrays([pa.array(group[cuts[:-1]]), pa.array(np.diff(cuts)), pa.array([s for _, s in packed], pa.int64()), pa.array([x for x, _ in packed], pa.binary())], ["grp", "rows", "size", "block"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, rows = [], 0
         for b in batches:
-            if not b.num_rows:
-                continue
-            slot = feistel(first[b.column("part").to_numpy()] + b.column("local").to_numpy(), n, key)
-            held.append((slot, _records(b.column("doc_id"), b.column("piece"), b.column("ids"), seq_len)))
-            rows += b.num_rows
-            if rows >= GATHER_ROWS:
-                yield blocks(held)
-                held, rows = [], 0
+            for part, first, size, block in zip(*(b.column(c).to_pylist() for c in ("part", "first", "size", "block"))):
+                (doc, piece, length), ids = _unpacked(block, size, ("<i8", "<i4", "<u4"))
+                held.append((start[part] + first + np.arange(len(doc)), doc, piece, length, ids))
+                rows += len(doc)
+                if rows >= GATHER_ROWS:
+                    yield blocks(held)
+                    held, rows = [], 0
         if held:
             yield blocks(held)
 
     return run
 
 
-def shard_name(shard: int) -> str:
-    return f"shard-{shard:010d}.bin"
+def _put(block: bytes, size: int, into: np.ndarray) -> int:
+    """Puts a block's sequences into their places, padded; says how many."""
+    (place, doc, piece, length), ids = _unpacked(block, size, ("<u4", "<i8", "<i4", "<u4"))
+    into["doc_id"][place], into["piece"][place], into["length"][place] = doc, piece, length
+    padded = np.zeros((len(place), into["ids"].shape[1]), "<u2")
+    padded[np.arange(padded.shape[1])[None, :] < length[:, None]] = ids
+    into["ids"][place] = padded
+    return len(place)
 
 
-def _writer(path: str, seq_len: int, shard_rows: int):
-    kind = record_type(seq_len)
+def _writer(path: str, n_all: int, seq_len: int, shard_rows: int):
+    kind, group_rows = record_type(seq_len), HELD_SHARDS * shard_rows
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """A partition holds whole shards, block after block; each record's place in its shard is its slot."""
+        """A partition holds whole groups of shards, block after block; each record's place is its slot."""
         fs, top = _filesystem(path)
         fs.create_dir(top, recursive=True)
-        shard, records, rows = None, None, 0
+        group, records, rows = None, None, 0
 
         def close() -> pa.RecordBatch:
-            temp = f"{top}/_temp-{uuid.uuid4().hex}"
-            with fs.open_output_stream(temp, compression=None) as out:
-                out.write(records[:rows].tobytes())  # slots are dense, so only the last shard is shorter
-            fs.move(temp, f"{top}/{shard_name(shard)}")
-            return pa.RecordBatch.from_arrays([pa.array([shard], pa.int64()), pa.array([rows], pa.int64())], ["shard", "rows"])
-
-        for key, part in runs(batches, "shard"):
-            if key != shard:
+            begin = group * group_rows
+            wanted = min(group_rows, n_all - begin)  # slots are dense, so only the last shard is shorter
+            if rows != wanted:
+                raise ValueError(f"{rows} of {wanted} sequences from slot {begin} on")
+            done = []
+            for a in range(0, wanted, shard_rows):
+                shard = (begin + a) // shard_rows
+                file = f"shard-{shard:010d}-{uuid.uuid4().hex}.bin"
+                part = records[a : min(a + shard_rows, wanted)]
+                with fs.open_output_stream(f"{top}/{file}", compression=None) as out:
+                    out.write(part.tobytes())
+                done.append({"shard": shard, "rows": len(part), "file": file})
+            return pa.RecordBatch.from_pylist(done, pa.schema([("shard", pa.int64()), ("rows", pa.int64()), ("file", pa.string())]))
+
+        for key, part in runs(batches, "grp"):
+            if key != group:
                 if records is not None:
                     yield close()
-                shard, rows, records = int(key), 0, np.zeros(shard_rows, kind)
-            for n, block in zip(part.column("rows").to_pylist(), part.column("block").to_pylist()):
-                data = pa.decompress(block, n * (8 + kind.itemsize), "zstd", asbytes=True)
-                records[np.frombuffer(data, "<i8", n) - shard * shard_rows] = np.frombuffer(data, kind, n, 8 * n)
-                rows += n
+                group, rows, records = int(key), 0, np.zeros(group_rows, kind)
+            for size, block in zip(part.column("size").to_pylist(), part.column("block").to_pylist()):
+                rows += _put(block, size, records)
         if records is not None:
             yield close()
 
@@ -169,32 +226,43 @@ def _writer(path: str, seq_len: int, shard_rows: int):
 
 
 def write_slots(docs: DataFrame, vocabulary: str, path: str | None = None, seq_len: int = 256, shard_rows: int = 32768, key: int = 20240607, **columns: str) -> tuple[str, DataFrame, int]:
-    """Writes the shards; gives their folder, ``shard, rows`` per shard, and the number of sequences."""
+    """Writes the shards; gives their folder, ``shard, rows, file`` per shard, and the number of sequences.
+
+    Without a ``path`` the folder is one in the shared folder that goes when the session ends.
+    """
     spark = docs.sparkSession
-    path = path or f"{shared_dir(spark)}/slots-{uuid.uuid4().hex}"
+    if path is None:
+        path = f"{shared_dir(spark)}/slots-{uuid.uuid4().hex}"
+        _later(spark, path)
     seqs = stage(sequences(docs, vocabulary, seq_len, **columns), "sequences")
-    counts = sorted((r["part"], r["n"]) for r in seqs.groupBy("part").agg(F.count("*").alias("n")).collect())  # one row per input partition
+    counts = sorted((r["part"], r["n"]) for r in seqs.groupBy("part").agg(F.sum("rows").alias("n")).collect())  # one row per input partition
     first, n = np.zeros(counts[-1][0] + 1 if counts else 1, np.int64), 0
     for part, rows in counts:
         first[part], n = n, n + rows
-    shards = -(-n // shard_rows)
-    tasks = max(1, min(shards, MOST_TASKS))
-    placed = seqs.mapInArrow(_placed(first, n, key, seq_len, shard_rows), "shard long, rows long, block binary")
-    # Ranges of slots: task t writes shards t * shards / tasks and on.
-    ranged = placed.repartitionById(tasks, F.floor(F.col("shard") * tasks / max(shards, 1)).cast("int")).sortWithinPartitions("shard")
-    done = stage(ranged.mapInArrow(_writer(path, seq_len, shard_rows), "shard long, rows long"), "shards")
+    group_rows = HELD_SHARDS * shard_rows
+    groups = -(-n // group_rows)
+    tasks = max(1, min(groups, MOST_TASKS))
+    placed = seqs.mapInArrow(_placed(first, n, key, group_rows), "grp long, rows long, size long, block binary")
+    # Ranges of slots: task t writes the groups t * groups / tasks and on.
+    ranged = placed.repartitionById(tasks, F.floor(F.col("grp") * tasks / max(groups, 1)).cast("int")).sortWithinPartitions("grp")
+    ranged.mapInArrow(_writer(path, n, seq_len, shard_rows), MANIFEST).write.mode("overwrite").parquet(f"{path}/_shards")
     unstage(seqs)
-    return path, done, n
+    return path, spark.read.schema(MANIFEST).parquet(f"{path}/_shards"), n
 
 
 def read_slots(path: str, seq_len: int, first: int, last: int, shard_rows: int) -> Iterator[tuple[int, int | None, int, np.ndarray]]:
     """``slot, doc_id, piece, ids`` of the slots first..last-1 in order: one seek, then sequential reads."""
     fs, top = _filesystem(path)
     stride = HEAD.itemsize + 2 * seq_len
+    wanted = (pc.field("shard") >= first // shard_rows) & (pc.field("shard") <= (last - 1) // shard_rows)
+    listed = pads.dataset(f"{top}/_shards", filesystem=fs, format="parquet").to_table(filter=wanted)
+    files = dict(zip(listed["shard"].to_pylist(), listed["file"].to_pylist()))
     while first < last:
         shard = first // shard_rows
         stop = min(last, (shard + 1) * shard_rows)
-        with fs.open_input_file(f"{top}/{shard_name(shard)}") as f:
+        if shard not in files:
+            raise ValueError(f"there is no slot {first}")
+        with fs.open_input_file(f"{top}/{files[shard]}") as f:
             f.seek((first - shard * shard_rows) * stride)
             while first < stop:
                 data = f.read(min(stop - first, 1024) * stride)
@@ -213,8 +281,8 @@ def slot_digests(docs: DataFrame, vocabulary: str, seq_len: int = 256, shard_row
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fs, top = _filesystem(path)
         for b in batches:
-            for shard, n in zip(b.column("shard").to_pylist(), b.column("rows").to_pylist()):
-                with fs.open_input_file(f"{top}/{shard_name(shard)}") as f:
+            for shard, n, file in zip(b.column("shard").to_pylist(), b.column("rows").to_pylist(), b.column("file").to_pylist()):
+                with fs.open_input_file(f"{top}/{file}") as f:
                     at = 0
                     while data := f.read(2048 * kind.itemsize):
                         rec = np.frombuffer(data, kind)
@@ -229,5 +297,5 @@ def slot_digests(docs: DataFrame, vocabulary: str, seq_len: int = 256, shard_row
                     if at != n:
                         raise ValueError(f"shard {shard} has {at} of {n} records")
 
-    width = docs.sparkSession.sparkContext.defaultParallelism
-    return shards.repartition(max(1, 2 * width), "shard").mapInArrow(run, "doc_id long, piece int, slot long, shard long, byte_offset long, length long, ids_crc32 long")
+    width = max(1, 2 * docs.sparkSession.sparkContext.defaultParallelism)
+    return shards.repartitionById(width, F.pmod("shard", F.lit(width)).cast("int")).mapInArrow(run, "doc_id long, piece int, slot long, shard long, byte_offset long, length long, ids_crc32 long")
