@@ -16,6 +16,7 @@ from pyspark.sql import Column as SparkColumn
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
 from ..functions.pgtypes import base_type, decoder, from_text, op_name, spark_type, widened
 from ..operators.feed import LSN, OP, TIME, with_metadata
@@ -188,9 +189,15 @@ def relation_rows(decoded: DataFrame) -> DataFrame:
 
 
 def tables_of(relations: DataFrame, catalog: dict[str, Table] | None = None) -> list[tuple[int, Table]]:
-    """Layouts in order of position, typed by the catalog where it knows a column (J3): metadata, a row per layout."""
+    """Layouts in order of position, typed by the catalog where it knows a column (J3): metadata, a row per change of a layout.
+
+    A source repeats its relation messages; one that says what the one before it said stays where it is.
+    """
+    what = F.struct("schema", "table", "identity", "columns")
+    before = F.lag(what).over(Window.partitionBy("relation_id").orderBy("since_lsn"))
+    changed = relations.withColumn("_before", before).filter(~what.eqNullSafe(F.col("_before")))
     out = []
-    for r in relations.orderBy("since_lsn").collect():
+    for r in changed.orderBy("since_lsn", "relation_id").collect():
         known = {c.name: c.data_type for c in (catalog or {}).get(f"{r['schema']}.{r['table']}", Table("", "", ())).columns}
         columns = tuple(Column(c["name"], known_type(c["oid"], known.get(c["name"])), key=c["key"]) for c in r["columns"])
         out.append((r["since_lsn"], Table(r["schema"], r["table"], columns, r["relation_id"], r["identity"])))

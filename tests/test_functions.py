@@ -163,3 +163,10 @@ def test_loops_in_hierarchies(spark):
     assert sorted(tuple(r) for r in serving.thread_tree(items, items.filter("id = 1")).collect()) == [(1, 1, 0), (2, 1, 1)]
     with pytest.raises(ValueError, match="loop"):
         serving.thread_tree(items, items.filter("id = 8"))
+
+
+def test_a_tree_of_more_than_a_million_rows(spark):
+    n = 1_100_000
+    items = spark.range(1, n).select("id", F.when(F.col("id") % 1000 == 1, F.lit(0)).otherwise(F.col("id") - 1).alias("parent_id")).union(spark.sql("select 0L, null"))
+    got = serving.thread_tree(items, items.filter("id = 0")).agg(F.count("*").alias("n"), F.max("depth").alias("d"), F.sum("depth").alias("s")).first()
+    assert tuple(got) == (n, 1000, sum((i - 1) % 1000 + 1 for i in range(1, n)))

@@ -256,3 +256,10 @@ def test_catalog_is_read_over_jdbc(spark):
 
     found = catalog.read_catalog(Session, "jdbc:x", {"user": "u"}).get("t")
     assert found.columns == (catalog.Column("id", "integer", False, True), catalog.Column("x", "numeric(9,2)", True, False))
+
+
+def test_repeated_relation_messages_are_one_layout(spark):
+    a, b = wire.relation(1, "t", [("id", 23, True)]), wire.relation(1, "t", [("id", 23, True), ("x", 25, False)])
+    feed = spark.createDataFrame([(i, m) for i, m in enumerate((a, a, b, b, b, a, wire.relation(2, "u", [("id", 20, True)])))], "lsn long, payload binary")
+    found = wire.tables_of(wire.relation_rows(wire.decode_messages(feed)))
+    assert [(lsn, t.name, len(t.columns)) for lsn, t in found] == [(0, "t", 1), (2, "t", 2), (5, "t", 1), (6, "u", 1)]
