@@ -26,6 +26,7 @@ from pyspark.sql.window import Window
 
 from .common import bounded_batches, runs, stage
 
+MOST_TASKS = 20_000
 OUT = "query_id long, vec_id long, score long"
 
 
@@ -139,6 +140,7 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 5, *, id_col: str = "ve
     queries = rows.filter(is_query).dropDuplicates(["vec_id", "w"]).select(F.explode(F.sequence(F.lit(0), F.lit(groups - 1))).alias("g"), deal(1, blocks).alias("b"), "vec_id", "w", F.lit(False).alias("cand"))
     candidates = rows.select(deal(2, groups).alias("g"), F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("b"), "vec_id", "w", F.lit(True).alias("cand"))
     both = queries.unionByName(candidates).select((F.col("b") * groups + F.col("g")).cast("long").alias("grp"), "cand", "vec_id", "w")
-    found = both.repartition(blocks * groups, "grp").sortWithinPartitions("grp", "cand").mapInArrow(_search(k), OUT)
+    tasks = min(blocks * groups, MOST_TASKS)  # by number, not by hash: each task has as many groups as any other
+    found = both.repartitionById(tasks, F.pmod("grp", F.lit(tasks)).cast("int")).sortWithinPartitions("grp", "cand").mapInArrow(_search(k), OUT)
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), F.asc("vec_id"))
     return found.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
