@@ -10,7 +10,7 @@
    document's own share in its site's sums. Documents with a posterior below one half are rejected.
 
 Sums are partial per task before they are shuffled, so a host with a third of all rows is no hot key; site tables are
-broadcast only while they have at most ``BROADCAST_SITES`` rows, else joined.
+broadcast only while they have at most ``BROADCAST_SITES`` rows, else joined with salted rows.
 
 Defined cases: null or empty texts have features that are all zero; null hosts and paths are sites of their own; a
 null id keeps its row, is not held out and teaches nothing; repeated rows each count; null, repeated (the largest
@@ -28,6 +28,8 @@ from .toxicity import _WordRows, fit_bounded, scored_by, training_rows, whole_ro
 
 MAX_TRAIN = 20_000
 BROADCAST_SITES = 20_000
+#: Places that a site's rows are dealt to where sites are joined.
+SALTS = 32
 #: Bounds of a level's strength, in documents.
 STRENGTH = (2.0, 1000.0)
 #: How far a site may move a document's log odds.
@@ -119,8 +121,11 @@ def _with_posterior(scored: DataFrame, host: str, path: str) -> DataFrame:
     """``scored`` with ``_host_posterior``, ``_path_posterior`` and ``_posterior`` beside ``_score``."""
     sites, mean = site_posteriors(scored, host, path)
     if sites.count() <= BROADCAST_SITES:
-        sites = F.broadcast(sites)
-    joined = scored.join(sites, scored[host].eqNullSafe(F.col("_host")) & scored[path].eqNullSafe(F.col("_path")))
+        joined = scored.join(F.broadcast(sites), scored[host].eqNullSafe(F.col("_host")) & scored[path].eqNullSafe(F.col("_path")))
+    else:  # a site's rows go to SALTS places, so that one with a third of all rows is split; ``scored`` is staged, so a row's number stays
+        sites = sites.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))))
+        joined = scored.withColumn("_row_salt", F.monotonically_increasing_id() % SALTS)
+        joined = joined.join(sites, F.col(host).eqNullSafe(F.col("_host")) & F.col(path).eqNullSafe(F.col("_path")) & (F.col("_row_salt") == F.col("_salt"))).drop("_salt", "_row_salt")
     p = F.col("_score")
     # Without the document's own share.
     at_host = (F.col("_site.k_host") * mean + F.col("_site.hs") - p) / (F.col("_site.k_host") + F.col("_site.hn") - 1)

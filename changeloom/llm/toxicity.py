@@ -10,7 +10,8 @@ Labels are learnt only from rows whose crc32 fold is not 0, and from ``max_train
 that bound is a parameter. Language, source and id are no inputs of a score.
 
 Defined cases: a null or empty text is scored from features that are all zero; a null id keeps its row, is not held out
-and takes no part in learning; rows that repeat an id are scored alike; labels of unknown ids, null labels and repeated
+and takes no part in learning; rows that repeat an id are scored each by its text, and the least text of a labelled id
+teaches; labels of unknown ids, null labels and repeated
 labels (the largest counts) are allowed; with no labels of both kinds every score is the prior; no rows give no rows.
 """
 
@@ -136,7 +137,8 @@ def training_rows(docs: DataFrame, labels: DataFrame, label_col: str, folds: int
     known = known.filter(crc_fold(F.col("doc_id"), folds) != 0)
     known = known.orderBy(F.xxhash64("doc_id", F.lit(3)), "doc_id").limit(max_train)
     # At most max_train ids and labels are broadcast, so the texts of the corpus stay where they are.
-    return stage(id_text(docs).join(F.broadcast(known), "doc_id").dropDuplicates(["doc_id"]), "train")
+    # Of the texts of a repeated id the least teaches.
+    return stage(id_text(docs).join(F.broadcast(known), "doc_id").groupBy("doc_id").agg(F.min("text").alias("text"), F.max("label").alias("label")), "train")
 
 
 def learn_lexicon(train: DataFrame, half: Column, size: int = LEXICON) -> Lexicon:
