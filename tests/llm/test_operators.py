@@ -10,6 +10,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -330,6 +331,95 @@ def test_site_posteriors_shrink_by_brute_force(spark):
     assert abs(out[70]["_host_posterior"] - mean) < abs(out[0]["_host_posterior"] - mean) + 0.5
 
 
+def plain_score(model, row):
+    """The calibrated score of one row of features, tree by tree."""
+    margin = model.base
+    for t in model.trees:
+        node = 0
+        while node < len(t.feature):
+            node = 2 * node + (2 if row[t.feature[node]] > t.threshold[node] else 1)
+        margin += t.value[node - len(t.feature)]
+    at, prob = model.at.tolist(), model.prob.tolist()
+    if margin <= at[0]:
+        p = prob[0]
+    elif margin >= at[-1]:
+        p = prob[-1]
+    else:
+        k = next(i for i in range(len(at)) if at[i] > margin) - 1
+        p = prob[k] + (prob[k + 1] - prob[k]) * (margin - at[k]) / (at[k + 1] - at[k])
+    return min(max(0.999 * p + 0.001 / (1 + np.exp(-margin)), 0.0), 1.0)
+
+
+def plain_toxic_features(lexicon, text):
+    words = text.split()
+    rows = []
+    for raw in words:
+        w = raw.lower().strip(toxicity.EDGE)
+        begin = lambda x: max([lexicon.begins.get(x[:n], 0.0) for n in (4, 5) if len(x) >= n] or [0.0])
+        odd = len(w) > 2 and not w.isalpha() and any(c.isalpha() for c in w)
+        bare = "".join(c for c in w.translate(toxicity.LEET) if c.isalpha())
+        plain = max(lexicon.words.get(bare, 0.0), begin(bare)) if odd and bare != w else 0.0
+        stretched = len(set(w)) > 1 and any(a == b == c for a, b, c in zip(w, w[1:], w[2:]))
+        rows.append((lexicon.words.get(w, 0.0), begin(w), plain, odd, stretched, w in toxicity.YOU, raw[:1].isupper(), len(raw) > 2 and raw.isupper(), raw.count("!"), sum(raw.count(c) for c in "*#%&$@|")))
+    n = len(words)
+    if not n:
+        return [0.0] * len(toxicity.NAMES)
+    mean = lambda k: sum(float(r[k]) for r in rows) / n
+    share = lambda k: sum(r[k] > 0 for r in rows) / n
+    top = lambda k: max(r[k] for r in rows)
+    near = sum(any(rows[j][5] for j in range(max(0, i - 4), min(n, i + 5))) for i, r in enumerate(rows) if r[0] > 0 or r[1] > 0 or r[2] > 0) / n
+    return [share(0), mean(0), top(0), share(1), mean(1), top(1), share(2), top(2), near, mean(5), mean(6), mean(7), mean(8), mean(9), mean(3), mean(4), float(np.log1p(n))]
+
+
+def test_toxicity_scores_by_brute_force(spark):
+    docs, labels = labelled(spark, 400)
+    more = docs_of(spark, [(-1, "You are IDIOTIC!! sooo l0serface you @!"), (-2, None), (-3, "idiotic " * 3000), (-4, "du scumbagS, scumbag")])
+    docs = docs.union(more)
+    lexicon, model = toxicity.train_toxicity(docs, labels)
+    assert lexicon.words and model.trees
+    texts = {r["doc_id"]: r["text"] or "" for r in docs.collect()}
+    for r in toxicity.toxicity(docs, labels).collect():
+        features = lexicon.features(texts[r["doc_id"]])
+        assert features == pytest.approx(plain_toxic_features(lexicon, texts[r["doc_id"]]), rel=1e-4, abs=1e-6)
+        assert r["score"] == pytest.approx(plain_score(model, features), abs=1e-12) and r["predicted"] == (r["score"] >= 0.5)
+
+
+def test_quality_scores_by_brute_force(spark, monkeypatch):
+    docs, labels = labelled(spark, 500)
+    k = F.col("doc_id")
+    docs = docs.withColumns({"source": F.when(k % 3 == 0, "big").otherwise(F.concat(F.lit("h"), (k % 40).cast("string"))), "lang": F.when(k % 7 != 0, F.concat(F.lit("p"), (k % 2).cast("string")))})
+    models, fit = [], quality.fit_bounded
+    monkeypatch.setattr(quality, "fit_bounded", lambda *a, **b: models.append(fit(*a, **b)) or models[-1])
+    got = {r["doc_id"]: r for r in quality.quality(docs, labels).collect()}
+    monkeypatch.setattr(quality, "BROADCAST_SITES", 0)  # the other way to join sites
+    assert got == {r["doc_id"]: r for r in quality.quality(docs, labels).collect()}
+    (model, _), features = models, quality.QualityFeatures().features
+    rows = {r["doc_id"]: r for r in docs.collect()}
+    p = {i: plain_score(model, features(r["text"])) for i, r in rows.items()}
+    total = sum(p.values())
+    mean = min(max((total + 0.5) / (len(p) + 1), 1e-4), 1 - 1e-4)
+    hosts, paths = collections.defaultdict(list), collections.defaultdict(list)
+    for i, r in rows.items():
+        hosts[r["source"]].append(p[i]), paths[r["source"], r["lang"]].append(p[i])
+
+    def strength(groups):
+        g = [(len(x), sum(x) / len(x)) for x in groups.values() if len(x) > 1]
+        between = sum((m - mean) ** 2 for _, m in g) / len(g) - mean * (1 - mean) * sum(1 / n for n, _ in g) / len(g)
+        return min(max(mean * (1 - mean) / between - 1 if between > 1e-9 else quality.STRENGTH[1], quality.STRENGTH[0]), quality.STRENGTH[1])
+
+    k_host, k_path = strength(hosts), strength(paths)
+    logit = lambda x: np.log(x / (1 - x))
+    bounded = lambda x: min(max(x, 1e-4), 1 - 1e-4)
+    for i, r in rows.items():
+        h, q = hosts[r["source"]], paths[r["source"], r["lang"]]
+        host = bounded((k_host * mean + sum(h) - p[i]) / (k_host + len(h) - 1))
+        path = bounded((k_path * host + sum(q) - p[i]) / (k_path + len(q) - 1))
+        moved = min(max(logit(path) - logit(mean), -quality.SITE_ODDS), quality.SITE_ODDS)
+        score = 1 / (1 + np.exp(-(logit(bounded(p[i])) + moved)))
+        assert (got[i]["evidence"], got[i]["host_posterior"], got[i]["path_posterior"], got[i]["score"]) == pytest.approx((p[i], host, path, score), abs=1e-9)
+        assert got[i]["kept"] == (score >= 0.5)
+
+
 @pytest.mark.parametrize("call", [lambda d, lab: toxicity.toxicity(d, lab), lambda d, lab: quality.quality(d, lab)])
 def test_classifier_edges(spark, call):
     rows = [(1, None), (2, ""), (3, " "), (None, "x"), (4, "w " * 50_000), (4, "w " * 50_000)]
@@ -470,6 +560,34 @@ def test_range_join_equals_brute_force(spark):
     assert rangejoin.near_vectors(df.limit(0)).collect() == []
 
 
+def test_vectors_that_share_an_id(spark):
+    rows = [(5, [1.0, 0.0]), (5, [0.0, 1.0]), (6, [1.0, 0.01]), (6, [0.0, -1.0]), (4, [0.0, -1.0])]
+    got = sorted(map(tuple, rangejoin.near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()))
+    assert got == sorted([(5, 1, 5, True), (5, 0, 5, True), (6, 1, 5, False), (6, 1, 4, False), (4, 1, 4, True)])
+
+
+def test_rings_prune_within_a_cell(spark, monkeypatch):
+    """Directions along an arc: with one pivot, only rings near a vector's own are met."""
+    n = 600
+    rows = [(i, [float(np.cos(i * np.pi / n)), float(np.sin(i * np.pi / n))]) for i in range(n)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    sent = {}
+    real = rangejoin.Rings
+    monkeypatch.setattr(rangejoin, "Rings", lambda *a: sent.setdefault("rings", real(*a)))
+    got = {tuple(r) for r in rangejoin.near_vectors(df, 0.995, block_rows=10, max_pivots=1).collect()}
+    assert sent["rings"].total >= 30
+    u = np.array([x for _, x in rows])
+    linked = u @ u.T >= 0.995
+    assert got == {(i, int(linked[i].sum()) - 1, 0, i == 0) for i in range(n)}
+    b = pa.RecordBatch.from_pydict({"rep": range(n), "mult": [1] * n, "v": u.tolist()})
+    pivot = u[[300]]
+    homes = next(rangejoin._homes(pivot)(iter([b])))
+    bins = homes.to_pandas().groupby(["home", "bin"]).agg(n=("far", "size"), lo=("far", "min"), hi=("far", "max")).reset_index().to_dict("records")
+    rings = real(bins, 1, 10)
+    out = list(rangejoin._copies(pivot, rings, float(np.sqrt(2 - 2 * 0.995)))(iter([homes.append_column("salt", pa.array(range(n)))])))
+    assert sum(x.num_rows for x in out) < n * rings.total / 3
+
+
 def test_a_small_table_has_several_cells(spark, sf_dir, monkeypatch):
     cells, copies = [], rangejoin._copies
     monkeypatch.setattr(rangejoin, "_copies", lambda pivots, *a: cells.append(len(pivots)) or copies(pivots, *a))
@@ -544,6 +662,25 @@ def test_feistel_is_a_permutation(n, key):
     assert (slots.feistel(y, n, key, inverse=True) == x).all()
 
 
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.integers(0, 65_535) | st.integers(0, 9), min_size=1, max_size=2000))
+def test_packed_ids_round_trip(ids):
+    w = np.array(ids, "<u2")
+    columns = [np.array([len(ids), 7], "<u4"), np.array([-1, 2**62], "<i8")]
+    (a, b), back = slots._unpacked(*slots._packed(columns, w), ("<u4", "<i8"))
+    assert back.tolist() == ids and a.tolist() == columns[0].tolist() and b.tolist() == columns[1].tolist()
+
+
+def test_files_of_other_attempts_are_not_read(spark, tmp_path):
+    path, shards, n = slots.write_slots(docs_of(spark, corpus(20, 3)), WORDS, f"file://{tmp_path}/s", seq_len=16, shard_rows=20)
+    before = [(s, d, p, i.tolist()) for s, d, p, i in slots.read_slots(path, 16, 0, n, 20)]
+    one = shards.first()["file"]
+    (tmp_path / "s" / (one[: one.rindex("-")] + "-lost.bin")).write_bytes(b"half a shard")
+    assert [(s, d, p, i.tolist()) for s, d, p, i in slots.read_slots(path, 16, 0, n, 20)] == before
+    with pytest.raises(ValueError, match="no slot|cut off"):
+        list(slots.read_slots(path, 16, 0, n + 100, 20))
+
+
 def test_slots_round_trip_and_resume(spark, tmp_path):
     rows = corpus(40, 6) + [(None, "a b"), (3, "again")]
     path, shards, n = slots.write_slots(docs_of(spark, rows, extra=True), WORDS, f"file://{tmp_path}/s", seq_len=32, shard_rows=50)
