@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from ..functions import text
 from ..operators import audit as audits
 from ..sources import catalog, wire
-from ..sources.files import scratch
+from ..sources.files import scratch, spread
 from ..sources.txlog import ChangeTable, read_union_by_name
 from ..streaming.runs import confirmed, land_snapshot, run_bronze, spool
 from . import scenario
@@ -40,7 +40,7 @@ def _messages(spark, sf_dir) -> DataFrame:
 
     orders = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("k"), F.col("o_orderstatus").alias("s"), F.col("o_totalprice").alias("a"))
     marks = spark.createDataFrame([(1, wire.relation(7, "orders", _NARROW)), (2_999_999_999, wire.relation(7, "orders", _WIDE)), (4_999_999_999, b"U\0")], "lsn long, payload binary")
-    return orders.mapInArrow(run, "lsn long, payload binary").union(marks)
+    return spread(orders).mapInArrow(run, "lsn long, payload binary").union(marks)
 
 
 def _landed(spark, sf_dir) -> str:

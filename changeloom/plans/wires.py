@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions import pgtypes, text
 from ..sources import catalog, items, wire
-from ..sources.files import filesystem, scratch
+from ..sources.files import filesystem, scratch, spread
 from .synth import table
 
 ORDERS = catalog.Table("public", "orders", (catalog.Column("id", "bigint", key=True), catalog.Column("status", "text"), catalog.Column("amount", "double precision")), 16_384)
@@ -31,7 +31,7 @@ def _encoded(orders: DataFrame) -> DataFrame:
                     lsn.append(4_000_000 + k), payload.append(wire.delete(ORDERS.relation_id, [k, None, None]))
             yield pa.RecordBatch.from_arrays([pa.array(lsn, pa.int64()), pa.array(payload, pa.binary())], ["lsn", "payload"])
 
-    return orders.select(F.col("o_orderkey").alias("k"), F.col("o_orderstatus").alias("s"), F.col("o_totalprice").alias("a")).mapInArrow(run, "lsn long, payload binary")
+    return spread(orders.select(F.col("o_orderkey").alias("k"), F.col("o_orderstatus").alias("s"), F.col("o_totalprice").alias("a"))).mapInArrow(run, "lsn long, payload binary")
 
 
 def wire_decode_pgoutput(spark, sf_dir):

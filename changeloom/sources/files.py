@@ -1,4 +1,4 @@
-"""Files that Python reaches by URI, on the driver and on executors, and scratch folders (SNK5)."""
+"""Files that Python reaches by URI, on the driver and on executors, scratch folders, and scans of few partitions (SNK5)."""
 
 from __future__ import annotations
 
@@ -9,7 +9,7 @@ import uuid
 from urllib.parse import quote
 
 import pyarrow.fs as pafs
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def filesystem(path: str) -> tuple[pafs.FileSystem, str]:
@@ -38,3 +38,14 @@ def scratch(spark: SparkSession, name: str) -> str:
 
     atexit.register(clean)
     return path
+
+
+def spread(rows: DataFrame) -> DataFrame:
+    """``rows``, dealt out to all cores if a scan would keep less than a quarter of them busy (a table of one row group, say).
+
+    Larger tables, and what comes out of a shuffle, stay as they are: rows are not shuffled for the sake of a few cores.
+    """
+    plan, cores = rows._jdf.queryExecution().executedPlan(), rows.sparkSession.sparkContext.defaultParallelism
+    if plan.nodeName().startswith("AdaptiveSparkPlan") or 4 * plan.execute().getNumPartitions() > cores:
+        return rows
+    return rows.repartition(cores)
