@@ -29,6 +29,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from ..sources.files import spread
 from .common import bounded_batches, id_text
 
 MEMO_ENTRIES = 400_000
@@ -353,4 +354,4 @@ def encoded_documents(docs: DataFrame, ranks_path: str, pattern: str, *, id_col:
 
     bounded_batches(docs.sparkSession)
     schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids binary" * keep_ids + ", text string" * keep_text
-    return id_text(docs, id_col, text_col).mapInArrow(run, schema)
+    return spread(id_text(docs, id_col, text_col)).mapInArrow(run, schema)

@@ -39,6 +39,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..sources.files import spread
 from .common import bounded_batches, id_text, meetings, stage, unstage
 from .toxicity import whole_rows
 from .graph import connected_components
@@ -324,7 +325,7 @@ def _grouped(docs: DataFrame, percent: int, miss: float = MISS, id_col: str = "d
     """The columns of near_duplicates, ``mark`` of the text, and ``grp``: the component, which unlike its name is unique; null without words."""
     bounded_batches(docs.sparkSession)
     texts = id_text(docs, id_col, text_col).withColumn("mark", _mark(F.col("text")))
-    sets = stage(texts.mapInArrow(_sets, _SET), "shingle-sets")
+    sets = stage(spread(texts).mapInArrow(_sets, _SET), "shingle-sets")
     # A class goes by a number of its own: one id may be the smallest of several classes.
     classes = sets.filter("digest is not null and doc_id is not null").groupBy("digest").agg(
         F.min(F.struct("doc_id", "mark")).alias("first"), F.any_value("n_shingles").alias("size"), F.any_value("signature").alias("signature")

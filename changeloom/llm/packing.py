@@ -21,6 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..sources.files import spread
 from .common import bounded_batches, id_text, stage
 from .tokens import codec, texts_of
 
@@ -50,7 +51,7 @@ def pieces(docs: DataFrame, vocabulary: str, capacity: int = 2048, *, id_col: st
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()))], ["doc_id", "piece", "start", "length", "ids_crc32"])
 
     bounded_batches(docs.sparkSession)
-    return id_text(docs, id_col, text_col).mapInArrow(run, PIECE)
+    return spread(id_text(docs, id_col, text_col)).mapInArrow(run, PIECE)
 
 
 def best_fit(sizes: list[int], capacity: int) -> list[list[int]]:

@@ -33,7 +33,8 @@ import pyarrow.dataset as pads
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded_batches, _later, id_text, runs, shared_dir, stage, unstage
+from ..sources.files import spread
+from .common import _later, bounded_batches, id_text, runs, shared_dir, stage, unstage
 from .tokens import codec, texts_of
 from .warc import _filesystem
 
@@ -134,7 +135,7 @@ def sequences(docs: DataFrame, vocabulary: str, seq_len: int = 256, *, id_col: s
             first += len(row)
 
     bounded_batches(docs.sparkSession)
-    return id_text(docs, id_col, text_col).mapInArrow(run, "part int, first long, rows long, size long, block binary")
+    return spread(id_text(docs, id_col, text_col)).mapInArrow(run, "part int, first long, rows long, size long, block binary")
 
 
 def record_type(seq_len: int) -> np.dtype:

@@ -26,6 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..sources.files import spread
 from . import boosting
 from .common import bounded_batches, crc_fold, id_text, stage, unstage
 
@@ -146,7 +147,7 @@ def learn_lexicon(train: DataFrame, half: Column, size: int = LEXICON) -> Lexico
     n1, n0 = (int(x or 0) for x in rows.agg(F.sum("label"), F.sum(1 - F.col("label"))).first())
     if not n1 or not n0:
         return Lexicon({}, {})
-    counts = rows.select("text", "label").mapInArrow(_counts, "key string, toxic long, other long").groupBy("key").agg(F.sum("toxic").alias("t"), F.sum("other").alias("o"))
+    counts = spread(rows.select("text", "label")).mapInArrow(_counts, "key string, toxic long, other long").groupBy("key").agg(F.sum("toxic").alias("t"), F.sum("other").alias("o"))
     weight = F.log((F.col("t") + 0.1) / (n1 + 0.2)) - F.log((F.col("o") + 0.1) / (n0 + 0.2))
     least = max(2, min(8, n1 // 50))
     top = counts.filter(F.col("t") >= least).withColumn("w", weight).filter("w > 1.5").orderBy(F.desc(F.col("w") * F.log1p("t")), "key").limit(size).collect()  # bounded by size
@@ -162,7 +163,7 @@ def feature_rows(rows: DataFrame, features, names: tuple[str, ...], extra: str)
             x = [features(t) for t in b.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([*(b.column(c) for c in cols), pa.array(x, pa.list_(pa.float64()))], [*cols, "x"])
 
-    return rows.select(*cols, "text").mapInArrow(run, f"{extra}, x array<double>")
+    return spread(rows.select(*cols, "text")).mapInArrow(run, f"{extra}, x array<double>")
 
 
 def fit_bounded(rows: DataFrame, features, names: tuple[str, ...], max_train: int, **options) -> boosting.Boosted:
@@ -197,7 +198,7 @@ def scorer(features, model: boosting.Boosted, n_features: int):
 def scored_by(rows: DataFrame, features, model: boosting.Boosted, n_features: int) -> DataFrame:
     """``rows`` with ``_score`` in place of ``_text``."""
     kept = [f for f in rows.schema.fields if f.name != "_text"]
-    return rows.mapInArrow(scorer(features, model, n_features), T.StructType([*kept, T.StructField("_score", T.DoubleType())]))
+    return spread(rows).mapInArrow(scorer(features, model, n_features), T.StructType([*kept, T.StructField("_score", T.DoubleType())]))
 
 
 def whole_rows(docs: DataFrame) -> Column:

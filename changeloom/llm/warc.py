@@ -45,7 +45,7 @@ from pyspark.sql.datasource import (
     WriterCommitMessage,
 )
 
-from .common import bounded_batches, _later, shared_dir
+from .common import _later, bounded_batches, shared_dir
 
 SCHEMA = "warc_type string, record_id string, target_uri string, warc_date string, payload_digest string, refers_to string, page_id long, payload_bytes long, payload binary, file string, offset long"
 #: Fixed values of the WARC 1.1 format.
