@@ -44,3 +44,9 @@ def audit(feed: DataFrame, *, key: str = "id", value: str = "score", count: int,
         rows.append(("delete_rows", F.col("dels"), float(deletes), F.col("dels") == deletes))
     checks = F.array(*[F.struct(F.lit(n).alias("check"), a.alias("actual"), F.lit(e).alias("expected"), p.alias("passed")) for n, a, e, p in rows])
     return one.select(F.inline(checks))
+
+
+def report(checks: DataFrame) -> bool:
+    """SNK11: prints the checks, a row each, and says whether all have passed."""
+    checks.orderBy("check").show(100, truncate=False)
+    return checks.filter(~F.coalesce(F.col("passed"), F.lit(False))).isEmpty()

@@ -70,6 +70,17 @@ def set_flag(stories: DataFrame, key_value: object, value: bool | None, key: str
     return stories.withColumn(flag, F.when(F.col(key) == F.lit(key_value), F.lit(value)).otherwise(F.col(flag)))
 
 
+def update_where(rows: DataFrame, where: Column, values: dict[str, Column]) -> DataFrame:
+    """DML8, FLT11: rows for which ``where`` holds get the values; a null condition changes nothing."""
+    hit = F.coalesce(where, F.lit(False))
+    return rows.select(*[F.when(hit, values[c].cast(kind)).otherwise(F.col(f"`{c}`")).alias(c) if c in values else F.col(f"`{c}`") for c, kind in rows.dtypes])
+
+
+def delete_where(rows: DataFrame, where: Column) -> DataFrame:
+    """DML8, FLT11: what is left; a null condition deletes nothing."""
+    return rows.filter(~F.coalesce(where, F.lit(False)))
+
+
 def prune_by_age(stories: DataFrame, days: int, now: Column, created: str = "created_at") -> DataFrame:
     """DML6, FLT10: what is left when rows older than ``days`` go; rows without a time stay."""
     return stories.filter(~F.coalesce(F.col(created) < now - F.make_dt_interval(F.lit(days)), F.lit(False)))

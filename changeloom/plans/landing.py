@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text
 from ..operators import audit as audits
+from ..operators import serving
 from ..sources import catalog, wire
 from ..sources.files import scratch, spread
 from ..sources.txlog import ChangeTable, read_union_by_name
@@ -143,6 +144,13 @@ def flat_strings(spark, sf_dir):
     return p.select("p_partkey", F.array_join(text.flatten_strings(F.parse_json(raw)), "|").alias("flat"))
 
 
+def workload_changes(spark, sf_dir):
+    """DML8, FLT11: the workload's range update and its delete of one key."""
+    rows = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("id"), F.col("o_totalprice").alias("score"))
+    k = F.col("id")
+    return serving.delete_where(serving.update_where(rows, (k > 100) & (k < 200), {"score": F.col("score") + 100}), k == 960)
+
+
 def temp_view(spark, sf_dir):
     """SRC13: the newest state under a name, asked by SQL text."""
     latest_state(spark, sf_dir).createOrReplaceTempView("changeloom_latest")
@@ -186,5 +194,6 @@ QUERIES = {
     "slot_exists": (slot_exists, "select count(*) as n, count(*) > 0 as present from nation where lower(n_name) = 'france'"),
     "random_workload": (random_workload, f"select c_custkey as id, 0 + 100 * ({_RANDOM.format(seed=7)} / 4294967296.0::double) as score, ['t', 'f', 'x'][cast({_RANDOM.format(seed=8)} % 3 as integer) + 1] as flag from customer"),
     "flat_strings": (flat_strings, """select p_partkey, case p_partkey % 3 when 1 then n || '|b' when 2 then n || '|c' else n end as flat from (select p_partkey, regexp_replace(p_name, '["\\\\]', '', 'g') as n from part)"""),
+    "workload_changes": (workload_changes, "select o_orderkey as id, o_totalprice + case when o_orderkey > 100 and o_orderkey < 200 then 100 else 0 end as score from orders where o_orderkey <> 960"),
     "temp_view": (temp_view, _FEED + f", live as ({_LIVE}) select status, count(*) as n, max(_cdc_lsn) as last from live group by status"),
 }

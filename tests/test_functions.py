@@ -170,3 +170,15 @@ def test_a_tree_of_more_than_a_million_rows(spark):
     items = spark.range(1, n).select("id", F.when(F.col("id") % 1000 == 1, F.lit(0)).otherwise(F.col("id") - 1).alias("parent_id")).union(spark.sql("select 0L, null"))
     got = serving.thread_tree(items, items.filter("id = 0")).agg(F.count("*").alias("n"), F.max("depth").alias("d"), F.sum("depth").alias("s")).first()
     assert tuple(got) == (n, 1000, sum((i - 1) % 1000 + 1 for i in range(1, n)))
+
+
+def test_changes_by_condition_and_report(spark, capsys):
+    from changeloom.operators.audit import report
+
+    rows = spark.createDataFrame([(1, 1.0), (2, None), (None, 3.0)], "id long, score double")
+    got = serving.update_where(rows, F.col("id") > 1, {"score": F.lit(9)})
+    assert got.dtypes == rows.dtypes and sorted(map(tuple, got.collect()), key=str) == sorted([(1, 1.0), (2, 9.0), (None, 3.0)], key=str)
+    assert sorted((r["id"] for r in serving.delete_where(rows, F.col("id") == 1).collect()), key=str) == [2, None]
+    checks = spark.createDataFrame([("a", True), ("b", True)], "check string, passed boolean")
+    assert report(checks) and not report(checks.union(spark.sql("select 'c', null")))
+    assert "|a    |true  |" in capsys.readouterr().out
