@@ -13,15 +13,20 @@ from pyspark.sql import functions as F
 
 #: Rows and bytes of a batch that goes to a Python worker: vectors are bounded by the first, texts by the second.
 BATCH_ROWS, BATCH_BYTES = 4096, 8 << 20
+#: Rows that the Parquet reader holds decoded, and bytes of a row group that the writer holds: a task has both on the heap besides what Spark manages.
+READ_ROWS, GROUP_BYTES = 128, 16 << 20
 
 
 def bounded_batches(spark: SparkSession) -> None:
-    """Bound the session's Arrow batches, the same for all operators; smaller settings stay."""
+    """Bound the session's Arrow batches, Parquet batches and row groups, the same for all operators; smaller settings stay."""
     rows, size = "spark.sql.execution.arrow.maxRecordsPerBatch", "spark.sql.execution.arrow.maxBytesPerBatch"
     if not 0 < int(spark.conf.get(rows)) <= BATCH_ROWS:
         spark.conf.set(rows, str(BATCH_ROWS))
     if not 0 < spark.sparkContext._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get(size)) <= BATCH_BYTES:
         spark.conf.set(size, str(BATCH_BYTES))
+    for name, most in (("spark.sql.parquet.columnarReaderBatchSize", READ_ROWS), ("parquet.block.size", GROUP_BYTES)):
+        if not 0 < int(spark.conf.get(name, None) or 0) <= most:
+            spark.conf.set(name, str(most))
 
 
 def shared_dir(spark: SparkSession) -> str:
