@@ -39,29 +39,50 @@ def wire_decode_pgoutput(spark, sf_dir):
     return wire.typed_rows(decoded, [(0, ORDERS)], unchanged=False, received_us=7)
 
 
+#: Rows of a copy file; a file is read by one task.
+COPY_ROWS = 50_000
+
+
 def wire_decode_copy(spark, sf_dir):
-    """Customers as binary copy files, one per task, read back as snapshot rows.
+    """Customers as binary copy files, of COPY_ROWS at most, read back as snapshot rows.
 
-    An attempt writes a file under a name of its own; only those that Spark's commit lists are read.
+    An attempt writes files under names of its own; only those that Spark's commit lists are read.
     """
     folder = scratch(spark, "copy")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import uuid
 
-        rows = []
-        for b in batches:
-            for k, n, bal, seg in zip(*(b.column(c).to_pylist() for c in ("c_custkey", "c_nationkey", "c_acctbal", "c_mktsegment"))):
-                rows.append([struct.pack(">q", k), struct.pack(">i", n), struct.pack(">d", bal), None if k % 9 == 0 else seg.encode(), bytes((k % 2,)), struct.pack(">q", k * 1_000_000)])
+        key, whole, real = (struct.Struct(f).pack for f in (">q", ">i", ">d"))
         fs, top = filesystem(folder)
         fs.create_dir(top, recursive=True)
-        name = f"part-{uuid.uuid4().hex}.copy"
-        with fs.open_output_stream(f"{top}/{name}") as f:
-            f.write(wire.copy_stream(rows))
-        yield pa.RecordBatch.from_arrays([pa.array([f"{folder}/{name}"])], ["file"])
+        names = []
 
-    table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_acctbal", "c_mktsegment").mapInArrow(run, "file string").write.parquet(f"{folder}/_files")
-    files = [r["file"] for r in spark.read.parquet(f"{folder}/_files").collect()]  # one per task
+        def opened():
+            names.append(f"part-{uuid.uuid4().hex}.copy")
+            f = fs.open_output_stream(f"{top}/{names[-1]}")
+            f.write(wire.copy_head())
+            return f
+
+        def closed(f) -> None:
+            f.write(wire.COPY_END)
+            f.close()
+
+        f, left = opened(), COPY_ROWS
+        for b in batches:
+            for a in range(0, b.num_rows, COPY_ROWS):
+                part = b.slice(a, COPY_ROWS)
+                if part.num_rows > left:
+                    closed(f)
+                    f, left = opened(), COPY_ROWS
+                rows = zip(*(part.column(c).to_pylist() for c in ("c_custkey", "c_nationkey", "c_acctbal", "c_mktsegment")))
+                f.write(wire.copy_records((key(k), whole(n), real(bal), None if k % 9 == 0 else seg.encode(), bytes((k % 2,)), key(k * 1_000_000)) for k, n, bal, seg in rows))
+                left -= part.num_rows
+        closed(f)
+        yield pa.RecordBatch.from_arrays([pa.array([f"{folder}/{name}" for name in names], pa.string())], ["file"])
+
+    spread(table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_acctbal", "c_mktsegment")).mapInArrow(run, "file string").write.parquet(f"{folder}/_files")
+    files = [r["file"] for r in spark.read.parquet(f"{folder}/_files").collect()]  # one per COPY_ROWS rows
     kinds = (("id", "bigint"), ("nation", "integer"), ("balance", "double precision"), ("segment", "text"), ("odd", "boolean"), ("seen", "timestamp with time zone"))
     t = catalog.Table("public", "customer", tuple(catalog.Column(n, k) for n, k in kinds))
     out = wire.read_copy(spark, files, t, 1_000_000)

@@ -23,7 +23,7 @@ from ..operators.feed import LSN, OP, TIME, with_metadata
 from .catalog import Column, Table, known_type
 from .files import filesystem
 
-COPY_SIGNATURE = b"PGCOPY\n\xff\r\n\0"
+COPY_SIGNATURE, COPY_END = b"PGCOPY\n\xff\r\n\0", b"\xff\xff"
 #: A streamed frame's kind, and what its header holds after it: start and end position, and time.
 FRAME_HEAD = 25
 #: A copy file is read in pieces of so many bytes.
@@ -284,6 +284,24 @@ def parse_copy(data: bytes | Iterable[bytes]) -> Iterator[list[bytes | None]]:
     take(4)
     take(int.from_bytes(take(4), signed=True))
     while (n := int.from_bytes(take(2), signed=True)) != -1:
+        fields: list[bytes | None] = []
+        here, end = at, len(held)
+        for _ in range(n):
+            if here + 4 > end:
+                break
+            size, here = _SIZE(held, here)[0], here + 4
+            if size < 0:
+                fields.append(None)
+                continue
+            if here + size > end:
+                break
+            fields.append(held[here : here + size])
+            here += size
+        else:
+            at = here
+            yield fields
+            continue
+        # a row that the end of a piece cuts
         yield [None if (size := int.from_bytes(take(4), signed=True)) < 0 else take(size) for _ in range(n)]
 
 
@@ -349,6 +367,8 @@ def read_copy(spark: SparkSession, path: str | list[str], table: Table, watermar
 
 # Encoding
 
+_COUNT, _LENGTH, _NO_FIELD = struct.Struct(">h").pack, struct.Struct(">i").pack, b"\xff" * 4
+
 
 def _cells(cells: Sequence) -> bytes:
     """None is null, ``...`` unchanged, anything else a text."""
@@ -393,11 +413,25 @@ def frame(lsn: int, payload: bytes) -> bytes:
     return b"w" + struct.pack(">qqq", lsn, lsn, 0) + payload
 
 
-def copy_stream(rows: Sequence[Sequence[bytes | None]]) -> bytes:
-    out = COPY_SIGNATURE + struct.pack(">ii", 0, 0)
+def copy_head() -> bytes:
+    return COPY_SIGNATURE + struct.pack(">ii", 0, 0)
+
+
+def copy_records(rows: Iterable[Sequence[bytes | None]]) -> bytes:
+    """Rows of a copy stream, between its head and COPY_END; a long stream is written a batch of them at a time."""
+    parts = []
     for r in rows:
-        out += struct.pack(">h", len(r)) + b"".join(struct.pack(">i", -1) if x is None else struct.pack(">i", len(x)) + x for x in r)
-    return out + struct.pack(">h", -1)
+        parts.append(_COUNT(len(r)))
+        for x in r:
+            if x is None:
+                parts.append(_NO_FIELD)
+            else:
+                parts += _LENGTH(len(x)), x
+    return b"".join(parts)
+
+
+def copy_stream(rows: Iterable[Sequence[bytes | None]]) -> bytes:
+    return copy_head() + copy_records(rows) + COPY_END
 
 
 def status_update(lsn: int, time: int = 0, reply: bool = False) -> bytes:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import random
 import struct
+import time
 
 import pytest
 from hypothesis import given, settings
@@ -11,6 +12,7 @@ from hypothesis import strategies as st
 
 from changeloom.functions import pgtypes
 from changeloom.operators.audit import audit
+from changeloom.plans import wires
 from changeloom.sources import catalog, wire
 from changeloom.sources.txlog import ChangeTable
 from changeloom.streaming.runs import run_bronze, run_silver, silver_view
@@ -225,6 +227,26 @@ def test_copy_streams_are_read_piece_by_piece(spark, tmp_path, monkeypatch):
     assert got == [(i, None if i % 3 else "x" * i) for i in range(300)]
 
 
+def test_copy_streams_are_encoded_in_linear_time():
+    began = time.monotonic()
+    data = wire.copy_stream([[b"x" * 1000]] * 60_000)
+    assert time.monotonic() - began < 10  # 60 MB; copying all of it for each row moves 2 TB
+    assert sum(1 for _ in wire.parse_copy(data)) == 60_000
+
+
+def test_copy_query_writes_files_of_bounded_rows(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(wires, "COPY_ROWS", 1000)
+    n, names = 5300, []
+    customers = spark.range(n).selectExpr("id as c_custkey", "cast(id % 7 as int) as c_nationkey", "id / 4 as c_acctbal", "'SEG' as c_mktsegment")
+    customers.repartition(2).write.parquet(f"{tmp_path}/all/customer.parquet")
+    customers.limit(0).write.parquet(f"{tmp_path}/none/customer.parquet")
+    monkeypatch.setattr(wire, "read_copy", lambda spark, files, *more, read=wire.read_copy: names.append(files) or read(spark, files, *more))
+    got = sorted(tuple(r)[:4] for r in wires.wire_decode_copy(spark, f"{tmp_path}/all").collect())
+    assert got == [(i, i % 7, i / 4, None if i % 9 == 0 else "SEG") for i in range(n)]
+    assert len(names[0]) >= 6
+    assert wires.wire_decode_copy(spark, f"{tmp_path}/none").count() == 0
+
+
 def test_layouts_whose_types_differ_are_read_in_one_pass(spark):
     column = lambda n, k, key=False: catalog.Column(n, k, key=key)
     old = catalog.Table("public", "t", (column("id", "integer", True), column("x", "integer")), 1)
